@@ -29,12 +29,8 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") ->
     start = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     # one row per partition of the sort: bounded by the partition number, not by the data
-    offsets = (sizes.agg(F.array_sort(F.collect_list(F.struct("_part", "n"))).alias("all"))
-               .select(F.explode(F.transform("all", lambda s: F.struct(
-                   s["_part"].alias("_part"),
-                   F.aggregate(F.filter("all", lambda t: t["_part"] < s["_part"]),
-                               F.lit(0).cast("bigint"), lambda acc, t: acc + t["n"]).alias("offset"))))
-                   .alias("o")).select("o.*"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     joined = ranged.join(offsets, "_part")
     return joined.withColumn(name, F.col("offset") + start).drop("_part", "_row", "offset")
 
