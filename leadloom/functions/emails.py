@@ -46,11 +46,24 @@ def is_bad_email(value: Column, params: Params) -> Column:
     return let(normalize_email(value), lambda v: is_bad_normalized(v, params))
 
 
+# a piece of text that can hold an address, plain or written with entities
+_AT_SIGN = r"@|\[at\]|\(at\)|&(?:#|commat|[lr](?:sqb|brack|par);)"
+
+
+def _address_pieces(text: Column) -> Column:
+    """The pieces between spaces, ``<``, ``>`` and quotes that can hold an address.
+
+    None of these separators occurs in an address, in an entity or in what its surroundings are
+    tested for, so the pieces give the same addresses as the whole text.
+    """
+    pieces = F.filter(F.split(text, r'[ \t\r\n\f<>"]+'), lambda t: t.rlike(_AT_SIGN))
+    return F.when(text.rlike(_AT_SIGN), F.array_join(pieces, " "))
+
+
 def extract_emails(text: Column, params: Params) -> Column:
     """Good addresses seen verbatim in a text, in order, each once."""
-    plausible = F.contains(text, F.lit("@")) | F.contains(text, F.lit("&")) | text.rlike(r"[\[(]at[\])]")
     decoded = F.replace(
-        F.replace(unescape(F.when(plausible, text)), F.lit("[at]"), F.lit("@")), F.lit("(at)"), F.lit("@"))
+        F.replace(unescape(_address_pieces(text)), F.lit("[at]"), F.lit("@")), F.lit("(at)"), F.lit("@"))
     found = let(decoded, lambda d: F.when(
         F.contains(d, F.lit("@")), F.regexp_extract_all(d, F.lit(_FIND), F.lit(1))))
     good = F.filter(F.transform(found, normalize_email), lambda e: ~is_bad_normalized(e, params))

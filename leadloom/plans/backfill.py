@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.text import strip
@@ -23,7 +23,7 @@ def backfill(leads: DataFrame, cache: DataFrame, results: DataFrame, params: Par
                            F.col("status").alias("f_status"), F.col("query").alias("f_query"), "confidence")
     joined = marked.join(renamed, marked["row_no"] == F.col("_row"), "left")
 
-    def value(column: str, field: str) -> F.Column:
+    def value(column: str, field: str) -> Column:
         return (F.when(F.col("action") == "lookup", F.col(f"f_{field}"))
                 .when(F.col("action") == "cached", F.col(f"c_{field}")).otherwise(F.col(column)))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import NOT_CHECKED, UNKNOWN
@@ -84,7 +84,7 @@ def _answers(leads: DataFrame, inputs: Inputs, params: Params) -> tuple[DataFram
     joined = looked.join(renamed, looked["ord"] == F.col("_ord"), "left")
     cached = F.col("fresh") & (F.col("email") != "")
 
-    def pick(field: str, default: str) -> F.Column:
+    def pick(field: str, default: str) -> Column:
         return F.coalesce(F.when(cached, F.col(f"c_{field}")).otherwise(F.col(f"f_{field}")), F.lit(default))
 
     done = joined.withColumns({
@@ -142,7 +142,7 @@ def run_report(inputs: Inputs, result: Harvest, counts: DataFrame, params: Param
 
     Each counter is a scalar of one aggregate, so tables of any size give a single row.
     """
-    def total(df: DataFrame | None, condition: F.Column | None = None):
+    def total(df: DataFrame | None, condition: Column | None = None):
         if df is None:
             return F.lit(0).cast("bigint")
         return df.agg(F.count(F.lit(1)) if condition is None else F.count_if(condition)).scalar()
