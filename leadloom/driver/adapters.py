@@ -104,7 +104,7 @@ def _lead_rows(df: DataFrame, order: Column, order_name: str, **values: Column)
     defaults = {column: F.lit(default) for column, _, default in LEAD_COLUMNS}
     chosen = {**defaults, **values}
     return df.select(order.alias(order_name), *[
-        chosen[c].cast("bigint" if c == "followers" else "int" if c == "lead_score" else "string").alias(c)
+        chosen[c].try_cast("bigint" if c == "followers" else "int" if c == "lead_score" else "string").alias(c)
         for c in LEAD_FIELDS])
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadloom.constants import CLICK_IDS, WEBSITE_BLOCKED_HOSTS
-from leadloom.functions.text import any_of, blank, let, strip
+from leadloom.functions.sqltext import apply, apply2, bind, q, q_list
+from leadloom.functions.text import SPACE, any_of, blank
 
 # the generic URI split of RFC 3986: scheme, authority, path, query, fragment
 _URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
@@ -16,97 +17,71 @@ _HOST = r"^([^:\[\]]*)(?::([0-9]*))?$"
 _HOST6 = r"^\[([0-9A-Fa-f:.]+)\](?::([0-9]*))?$"
 
 
-def _decode(value: Column) -> Column:
-    lone_percent_kept = F.regexp_replace(value, "%(?![0-9A-Fa-f]{2})", "%25")
-    return F.coalesce(F.try_url_decode(lone_percent_kept), value)
-
-
-def _encode(value: Column) -> Column:
-    form = F.replace(F.url_encode(value), F.lit("%7E"), F.lit("~"))
-    return F.replace(form, F.lit("*"), F.lit("%2A"))
-
-
-def _query_pairs(query: Column) -> Column:
-    pieces = F.filter(F.split(query, "&"), lambda p: p != "")
-    return F.transform(pieces, lambda p: F.struct(
-        _decode(F.substring_index(p, "=", 1)).alias("name"),
-        _decode(F.when(F.contains(p, F.lit("=")), F.regexp_replace(p, "(?s)^[^=]*=", ""))
-                .otherwise("")).alias("value")))
-
-
-def _clean_query(query: Column) -> Column:
-    def wanted(pair: Column) -> Column:
-        name = F.lower(pair["name"])
-        return ~(name.startswith("utm_") | name.isin(CLICK_IDS))
-
-    pairs = F.array_sort(F.filter(_query_pairs(query), wanted))
-    text = F.array_join(
-        F.transform(pairs, lambda p: F.concat(_encode(p["name"]), F.lit("="), _encode(p["value"]))),
-        "&")
-    return F.when(query == "", "").otherwise(text)
-
-
-def _split(url: Column) -> Column:
-    authority = F.regexp_extract(url, _URI, 2)
-    return F.struct(
-        F.lower(F.regexp_extract(url, _URI, 1)).alias("scheme"),
-        F.regexp_replace(authority, "(?s)^.*@", "").alias("hostport"),
-        F.regexp_extract(url, _URI, 3).alias("path"),
-        F.regexp_extract(url, _URI, 4).alias("query"),
-    )
-
-
-def _host_and_port(parts: Column) -> Column:
-    hostport = parts["hostport"]
-    six = hostport.startswith("[")
-
-    def group(i: int) -> Column:
-        return F.when(six, F.regexp_extract(hostport, _HOST6, i)).otherwise(
-            F.regexp_extract(hostport, _HOST, i))
-
-    port = F.when(group(2) == "", F.lit(0)).otherwise(
-        F.coalesce(group(2).try_cast("int"), F.lit(-1)))
-    return F.struct(
-        F.when(parts["scheme"].isin("http", "https"), "https").otherwise(parts["scheme"])
-        .alias("scheme"),
-        F.regexp_replace(F.lower(group(1)), r"^www\.", "").alias("host"),
-        port.alias("port"),
-        (hostport.rlike(_HOST) | hostport.rlike(_HOST6)).alias("well_formed"),
-        F.regexp_replace(F.when(parts["path"] == "", "/").otherwise(parts["path"]), "/{2,}", "/")
-        .alias("path"),
-        _clean_query(parts["query"]).alias("query"),
-    )
-
-
-def _assemble(u: Column) -> Column:
-    shown_port = F.when(
-        (u["port"] > 0) & ~((u["scheme"] == "https") & (u["port"] == 443)),
-        F.concat(F.lit(":"), u["port"].cast("string"))).otherwise("")
-    path = F.when(u["path"] == "/", "/").otherwise(F.regexp_replace(u["path"], "/+$", ""))
-    rooted = F.when(path.startswith("/") | (path == ""), path).otherwise(F.concat(F.lit("/"), path))
-    scheme = F.when(u["scheme"] == "", "").otherwise(F.concat(u["scheme"], F.lit(":")))
-    front = (
-        F.when(u["host"] != "", F.concat(scheme, F.lit("//"), u["host"], shown_port, rooted))
-        .when((u["scheme"] == "https") & path.startswith("/"), F.concat(scheme, F.lit("//"), path))
-        .otherwise(F.concat(scheme, path)))
-    query = F.when(u["query"] == "", "").otherwise(F.concat(F.lit("?"), u["query"]))
-    usable = u["well_formed"] & u["port"].between(0, 65535)
-    return F.when(usable, F.concat(front, query)).otherwise("")
+_DECODED = "try_url_decode(regexp_replace({0}, '%(?![0-9A-Fa-f]{{2}})', '%25'))"
+_ENCODED = "replace(replace(url_encode({0}), '%7E', '~'), '*', '%2A')"
 
 
-def canonical_url(url: Column) -> Column:
-    """One spelling per address; text that is no URL at all (bad port, blanks) becomes ``""``."""
-    def complete(trimmed: Column) -> Column:
-        absolute = F.when(trimmed.startswith("//"), F.concat(F.lit("https:"), trimmed)).otherwise(trimmed)
-        with_scheme = F.when(F.contains(absolute, F.lit("://")), absolute).otherwise(
-            F.concat(F.lit("https://"), absolute))
-        return F.translate(with_scheme, "\t\r\n", "")
+def _query_sql(query: str) -> str:
+    """Sorted, re-encoded pairs without tracking parameters."""
+    name = _DECODED.format("substring_index(p, '=', 1)")
+    value = _DECODED.format("CASE WHEN contains(p, '=') THEN regexp_replace(p, '(?s)^[^=]*=', '') ELSE '' END")
+    pieces = f"filter(split({query}, '&'), p -> p <> '')"
+    pairs = f"transform({pieces}, p -> struct({name} AS name, {value} AS value))"
+    wanted = f"filter({pairs}, p -> NOT (lower(p.name) LIKE 'utm\\\\_%' OR lower(p.name) IN ({q_list(CLICK_IDS)})))"
+    shown = f"concat({_ENCODED.format('p.name')}, '=', {_ENCODED.format('p.value')})"
+    return f"CASE WHEN {query} = '' THEN '' ELSE array_join(transform(array_sort({wanted}), p -> {shown}), '&') END"
+
+
+def _parts_sql(url: str) -> str:
+    """Scheme, authority without user, path and query of a trimmed address."""
+    group = f"regexp_extract({url}, {q(_URI)}, "
+    return (f"struct(lower({group}1)) AS scheme, regexp_replace({group}2), '(?s)^.*@', '') AS hostport, "
+            f"{group}3) AS path, {group}4) AS query)")
+
+
+def _host_sql(p: str) -> str:
+    """Scheme, host, port and cleaned path and query from the parts."""
+    def group(i: int) -> str:
+        return (f"CASE WHEN startswith({p}.hostport, '[') THEN regexp_extract({p}.hostport, {q(_HOST6)}, {i}) "
+                f"ELSE regexp_extract({p}.hostport, {q(_HOST)}, {i}) END")
+
+    return f"""struct(
+        CASE WHEN {p}.scheme IN ('http', 'https') THEN 'https' ELSE {p}.scheme END AS scheme,
+        regexp_replace(lower({group(1)}), {q(r"^www\.")}, '') AS host,
+        CASE WHEN {group(2)} = '' THEN 0 ELSE coalesce(try_cast({group(2)} AS INT), -1) END AS port,
+        {p}.hostport RLIKE {q(_HOST)} OR {p}.hostport RLIKE {q(_HOST6)} AS well_formed,
+        regexp_replace(CASE WHEN {p}.path = '' THEN '/' ELSE {p}.path END, '/{{2,}}', '/') AS path,
+        {_query_sql(p + '.query')} AS query)"""
+
 
-    def build(trimmed: Column) -> Column:
-        full = let(complete(trimmed), lambda v: let(_split(v), lambda p: let(_host_and_port(p), _assemble)))
-        return F.when(trimmed == "", "").otherwise(full)
+def _assembled_sql(u: str) -> str:
+    port = f"CASE WHEN {u}.port > 0 AND NOT ({u}.scheme = 'https' AND {u}.port = 443) THEN concat(':', {u}.port) ELSE '' END"
+    scheme = f"CASE WHEN {u}.scheme = '' THEN '' ELSE concat({u}.scheme, ':') END"
+    path = f"CASE WHEN {u}.path = '/' THEN '/' ELSE regexp_replace({u}.path, '/+$', '') END"
+    front = f"""CASE
+        WHEN {u}.host <> '' THEN concat({scheme}, '//', {u}.host, {port},
+            CASE WHEN path = '' OR startswith(path, '/') THEN path ELSE concat('/', path) END)
+        WHEN {u}.scheme = 'https' AND startswith(path, '/') THEN concat({scheme}, '//', path)
+        ELSE concat({scheme}, path) END"""
+    query = f"CASE WHEN {u}.query = '' THEN '' ELSE concat('?', {u}.query) END"
+    whole = bind("path", path, f"concat({front}, {query})")
+    return f"CASE WHEN {u}.well_formed AND {u}.port BETWEEN 0 AND 65535 THEN {whole} ELSE '' END"
 
-    return let(strip(blank(url)), build)
+
+def _canonical_sql() -> str:
+    absolute = "CASE WHEN startswith(t, '//') THEN concat('https:', t) ELSE t END"
+    complete = bind("a", absolute, "translate(CASE WHEN contains(a, '://') THEN a ELSE concat('https://', a) END, '\t\r\n', '')")
+    parsed = bind("v", complete, bind("p", _parts_sql("v"), bind("u", _host_sql("p"), _assembled_sql("u"))))
+    edges = q(f"^[{SPACE}]+|[{SPACE}]+$")
+    return bind("t", f"regexp_replace(coalesce(url, ''), {edges}, '')", f"CASE WHEN t = '' THEN '' ELSE {parsed} END")
+
+
+_CANONICAL = _canonical_sql()
+
+
+def canonical_url(url: Column) -> Column:
+    """One spelling per address; text that is no URL at all (bad port, blanks) becomes ``""``."""
+    return apply("url", _CANONICAL, url)
 
 
 def host_of(url: Column) -> Column:
@@ -146,38 +121,36 @@ def official_website(links: Column) -> Column:
     return F.coalesce(F.get(own, F.lit(0)), F.lit(""))
 
 
-def _merge_dots(path: Column) -> Column:
+def _merged_dots_sql(path: str) -> str:
     """Remove ``.`` and ``..`` segments as RFC 3986 section 5.2.4 asks."""
-    def step(done: Column, part: Column) -> Column:
-        return (
-            F.when(part == ".", done)
-            .when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
-            .otherwise(F.concat(done, F.array(part))))
-
-    segments = F.slice(F.split(path, "/"), 2, 1 << 30)
-    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
-    last = F.element_at(segments, -1)
-    open_end = F.when(last.isin(".", ".."), "/").otherwise("")
-    merged = F.concat(F.lit("/"), F.array_join(kept, "/"))
-    return F.when(merged.endswith("/"), merged).otherwise(F.concat(merged, open_end))
+    segments = f"slice(split({path}, '/'), 2, {1 << 30})"
+    kept = f"""aggregate({segments}, cast(array() AS ARRAY<STRING>), (done, part) -> CASE
+        WHEN part = '.' THEN done
+        WHEN part = '..' THEN slice(done, 1, greatest(size(done) - 1, 0))
+        ELSE concat(done, array(part)) END)"""
+    open_end = f"CASE WHEN {path} RLIKE '/[.][.]?$' THEN '/' ELSE '' END"
+    merged = bind("m", f"concat('/', array_join({kept}, '/'))", f"CASE WHEN endswith(m, '/') THEN m ELSE concat(m, {open_end}) END")
+    return f"CASE WHEN {path} RLIKE '(^|/)[.][.]?(/|$)' THEN {merged} ELSE {path} END"
+
+
+def _resolved_sql() -> str:
+    root = f"regexp_extract(base, {q(r'^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)')}, 1)"
+    folder = f"CASE WHEN regexp_extract(base, {q(_URI)}, 3) = '' THEN '/' ELSE regexp_replace(regexp_extract(base, {q(_URI)}, 3), '[^/]*$', '') END"
+    tail = f"substring(href, length(hpath) + 1, {1 << 30})"
+    full = f"CASE WHEN startswith(href, '/') THEN hpath ELSE concat({folder}, hpath) END"
+    by_path = bind("hpath", f"regexp_extract(href, {q(_URI)}, 3)",
+                   f"concat({root}, {bind('full', full, _merged_dots_sql('full'))}, {tail})")
+    return f"""CASE WHEN href = '' THEN base
+        WHEN href RLIKE {q(r'^[A-Za-z][A-Za-z0-9+.-]*:')} THEN href
+        WHEN startswith(href, '//') THEN concat(substring_index(base, ':', 1), ':', href)
+        WHEN startswith(href, '#') THEN concat(regexp_replace(base, '(?s)#.*$', ''), href)
+        WHEN startswith(href, '?') THEN concat(regexp_replace(base, '(?s)[?#].*$', ''), href)
+        ELSE {by_path} END"""
+
+
+_RESOLVED = _resolved_sql()
 
 
 def resolve(base: Column, href: Column) -> Column:
     """Absolute form of ``href`` found on page ``base`` (an absolute http(s) URL)."""
-    base_root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    base_path = F.regexp_extract(base, _URI, 3)
-    folder = F.when(base_path == "", "/").otherwise(F.regexp_replace(base_path, "[^/]*$", ""))
-    href_path = F.regexp_extract(href, _URI, 3)
-    tail = F.substring(href, F.length(href_path) + 1, 1 << 30)
-
-    def dotted(path: Column) -> Column:
-        return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), let(path, _merge_dots)).otherwise(path)
-
-    return (
-        F.when(href == "", base)
-        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(F.substring_index(base, ":", 1), F.lit(":"), href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, "(?s)#.*$", ""), href))
-        .when(href.startswith("?"), F.concat(F.regexp_replace(base, "(?s)[?#].*$", ""), href))
-        .when(href.startswith("/"), F.concat(base_root, dotted(href_path), tail))
-        .otherwise(F.concat(base_root, dotted(F.concat(folder, href_path)), tail)))
+    return apply2("base", "href", _RESOLVED, base, href)

@@ -40,21 +40,19 @@ def _untouched(edges: DataFrame, taken: DataFrame) -> DataFrame:
 
 def kept_orders(rows: DataFrame) -> DataFrame:
     """Orders kept among ``rows(ord, keys)``; ``ord`` is unique, ``keys`` are distinct."""
-    keyless = rows.filter(F.size("keys") == 0).select("ord")
-    open_rows = (rows.filter(F.size("keys") > 0)
-                 .groupBy(F.array_sort("keys").alias("keys")).agg(F.min("ord").alias("ord")))
-    open_rows = cut(open_rows)
-    kept = [keyless]
+    kept = rows.filter(F.size("keys") == 0).select("ord")
+    open_rows = cut(rows.filter(F.size("keys") > 0)
+                    .groupBy(F.array_sort("keys").alias("keys")).agg(F.min("ord").alias("ord")))
     while not open_rows.isEmpty():
         edges = open_rows.select(
             "ord", F.size("keys").alias("keys_held"), F.explode("keys").alias("key"))
-        taken = cut(_first_holders(edges))
-        kept.append(taken.select("ord").distinct())
-        open_rows = cut(_untouched(edges, taken))
-    result = kept[0]
-    for part in kept[1:]:
-        result = result.unionAll(part)
-    return result
+        taken = _first_holders(edges)
+        # kept rows leave without keys; both parts read the same shuffle of minima
+        decided = cut(taken.select("ord").distinct().select("ord", F.lit(None).cast("array<string>").alias("keys"))
+                      .unionAll(_untouched(edges, taken)))
+        kept = kept.unionAll(decided.filter("keys IS NULL").select("ord"))
+        open_rows = decided.filter("keys IS NOT NULL")
+    return kept
 
 
 def dedup_by_keys(df: DataFrame, order: str, keys: Column) -> DataFrame:
