@@ -46,6 +46,7 @@ BUSINESS_LOCAL_TOKENS = ["business", "collab", "partner", "booking"]
 
 # --- fixed values: secret masking ------------------------------------------------------------
 SECRET_WORDS = "api[_-]?key|token|authorization|credential|secret"
+SECRET_STEMS = ["api", "token", "authorization", "credential", "secret"]
 
 # --- fixed values: qualification ----------------------------------------------------------------
 TARGET_NICHES = ["business", "fitness", "marketing", "coaching", "real_estate", "finance"]

@@ -241,18 +241,42 @@ def in_domain_links(spark, sf_dir):
 
 
 def linked_pages(spark, sf_dir):
-    """Pages moved to the address of their own first link, so that links lead to stored pages."""
-    first_link = F.regexp_extract("html", '<a href="([^"]*)"', 1)
+    """Pages moved to the address of their own first link, so that links lead to stored pages; the
+    first page of a domain is moved to its root, where every visit starts."""
     root = F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0)
-    pages = stored_pages(spark, sf_dir)
-    return pages.withColumn("url", F.concat(root, first_link))
-
-
-VISIT_PARAMS = Params(as_of=PARAMS.as_of, contact_link_tokens=("/",), priority_paths=("/of", "/the", "/The", "/and", "/to", "/a", "/in", "/is"))
-
-
-@query("site_visits")
+    pages = stored_pages(spark, sf_dir).withColumn("root", F.regexp_replace(root, r"//www\.", "//"))
+    pages = pages.withColumn("root", F.regexp_replace("root", "^http:", "https:"))
+    first = pages.groupBy("root").agg(F.min("page_id").alias("first_id"))
+    path = F.when(F.col("page_id") == F.col("first_id"), "/").otherwise(F.regexp_extract("html", '<a href="([^"]*)"', 1))
+    return pages.join(first, "root").withColumn("url", F.concat("root", path)).drop("root", "first_id")
+
+
+VISIT_PARAMS = Params(as_of=PARAMS.as_of, contact_link_tokens=("/",))
+
+
+def _visit_rounds(rounds: int) -> str:
+    """Visiting order written out: every round follows the links of the pages of the round before."""
+    steps = ["""
+roots AS (SELECT *, regexp_replace(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*', 0), '//www[.]', '//'), '^http:', 'https:') AS root FROM pages),
+moved AS (SELECT page_id, html, root, root || CASE WHEN page_id = min(page_id) OVER (PARTITION BY root) THEN '/'
+                 ELSE regexp_extract(html, '<a href="([^"]*)"', 1) END AS page FROM roots),
+stored AS (SELECT page, arg_min(root, page_id) AS root, list_transform(regexp_extract_all(arg_min(html, page_id), '<a href="([^"]*)"', 1),
+                  lambda h: arg_min(root, page_id) || h) AS links FROM moved GROUP BY page)""",
+             "v0 AS (SELECT root, 1 AS visit_no, page, links FROM stored WHERE page = root || '/')"]
+    for i in range(rounds):
+        seen = " UNION ALL ".join(f"SELECT * FROM v{j}" for j in range(i + 1))
+        steps.append(f"seen{i} AS ({seen})")
+        steps.append(f"""link{i} AS (SELECT root, page, min(place) AS place FROM (
+            SELECT root, unnest(links) AS page, visit_no * 100000 + generate_subscripts(links, 1) AS place FROM v{i}) GROUP BY 1, 2)""")
+        steps.append(f"""v{i + 1} AS (SELECT root, used + rn AS visit_no, page, links FROM (
+            SELECT l.root, u.used, l.page, s.links, row_number() OVER (PARTITION BY l.root ORDER BY place) AS rn
+            FROM link{i} l JOIN stored s USING (page) JOIN (SELECT root, max(visit_no) AS used FROM seen{i} GROUP BY 1) u ON u.root = l.root
+            WHERE l.page NOT IN (SELECT page FROM seen{i})) WHERE used + rn <= 5)""")
+    everything = " UNION ALL ".join(f"SELECT * FROM v{j}" for j in range(rounds + 1))
+    return f"WITH {', '.join(steps)} SELECT regexp_replace(root, 'https://', '') AS domain, CAST(visit_no AS INT) AS visit_no, page FROM ({everything})"
+
+
+@query("site_visits", _visit_rounds(5))
 def site_visits(spark, sf_dir):
-    """Visiting order of all sites; it follows links over rounds, so there is no plain SQL for it."""
     visits = visit_sites(parse_site_pages(linked_pages(spark, sf_dir), VISIT_PARAMS), VISIT_PARAMS)
-    return visits.select("domain", "visit_no", "page", "url")
+    return visits.select("domain", "visit_no", "page")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadloom import constants as k
-from leadloom.functions.text import blank, let, quote, strip, unescape
+from leadloom.functions.text import any_of, blank, let, quote, strip, unescape
 from leadloom.params import Params
 
 _FULL = rf"(?i)\A{k.EMAIL_LOCAL_CLASS}+@{k.EMAIL_DOMAIN}\z"
@@ -46,8 +46,8 @@ def is_bad_email(value: Column, params: Params) -> Column:
     return let(normalize_email(value), lambda v: is_bad_normalized(v, params))
 
 
-# a piece of text that can hold an address, plain or written with entities
-_AT_SIGN = r"@|\[at\]|\(at\)|&(?:#|commat|[lr](?:sqb|brack|par);)"
+# what a piece of text holds at least when it holds an address, plain or written with entities
+_AT_SIGNS = ["@", "[at]", "(at)", "&#", "&commat", "&lsqb;", "&lbrack;", "&lpar;", "&rsqb;", "&rbrack;", "&rpar;"]
 
 
 def _address_pieces(text: Column) -> Column:
@@ -56,8 +56,8 @@ def _address_pieces(text: Column) -> Column:
     None of these separators occurs in an address, in an entity or in what its surroundings are
     tested for, so the pieces give the same addresses as the whole text.
     """
-    pieces = F.filter(F.split(text, r'[ \t\r\n\f<>"]+'), lambda t: t.rlike(_AT_SIGN))
-    return F.when(text.rlike(_AT_SIGN), F.array_join(pieces, " "))
+    pieces = F.filter(F.split(text, r'[ \t\r\n\f<>"]+'), lambda t: any_of(t, _AT_SIGNS))
+    return F.when(any_of(text, _AT_SIGNS), F.array_join(pieces, " "))
 
 
 def extract_emails(text: Column, params: Params) -> Column:

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from leadloom.functions.text import SPACE, blank, let, strip, unescape, unescape_items
 
+# possessive loops throughout: Java runs them without recursion and without going back
 _ATTRS = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+"""
-_SKIPPED = (r"<!--(?:(?!-->)[\s\S])*+(?:-->)?"
-            r"|<(?:script|style)\b(?:(?!</(?:script|style))[\s\S])*+")
+_COMMENT = r"!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?+"
+_SKIPPED = _COMMENT + r"|(?:script|style)\b[^<]*+(?:<(?!/(?:script|style))[^<]*+)*+"
 _ATTRIBUTE = r"""([^\s/>=][^\s/>=]*+\s*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']*+))?+)"""
 
 
 def _tags(html: Column, name: str) -> Column:
     """Attribute text of every ``<name ...>`` outside comments, scripts and styles."""
-    pattern = rf"(?i){_SKIPPED}|<{name}(?=[\s/>])({_ATTRS})>"
+    pattern = rf"(?i)<(?:{_SKIPPED}|{name}(?=[\s/>])({_ATTRS})>)"
     found = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
     opening = F.filter(found, lambda t: t.rlike(rf"(?i)^<{name}(?=[\s/>])"))
     return F.transform(opening, lambda t: F.substring(t, len(name) + 2, 1 << 30))
@@ -41,19 +42,17 @@ def hrefs(html: Column) -> Column:
 
 def inner_text(fragment: Column) -> Column:
     """Text pieces of a fragment, each trimmed, joined by one space (entities left as they are)."""
-    bare = F.regexp_replace(fragment, rf"(?i){_SKIPPED}|<!--[\s\S]*?-->", "")
+    bare = F.regexp_replace(fragment, rf"(?i)<(?:{_SKIPPED})", "")
     pieces = F.transform(F.split(bare, r"<[/!?a-zA-Z][^>]*+>"), strip)
     return F.array_join(F.filter(pieces, lambda p: p != ""), " ")
 
 
 def title(html: Column) -> Column:
-    """Text of the first title, null when the page has none."""
-    visible = F.regexp_replace(blank(html), rf"(?i){_SKIPPED}", "")
-    found = visible.rlike(r"(?i)<title(?=[\s/>])")
-    text = strip(F.regexp_replace(
-        F.regexp_extract(visible, rf"(?i)<title(?=[\s/>]){_ATTRS}>((?:(?!</title)[\s\S])*+)", 1),
-        rf"[{SPACE}]+$", ""))
-    return F.when(found, unescape(inner_text(text)))
+    """Text of the first title, null when the page has none. Reading stops at the title."""
+    before = rf"(?i)\A(?:[^<]++|<(?:{_SKIPPED})|<(?!title[\s/>]))*+"
+    found = F.regexp_extract(blank(html), rf"{before}(<title{_ATTRS}>[^<]*+(?:<(?!/title)[^<]*+)*+)", 1)
+    text = inner_text(F.regexp_replace(found, rf"(?i)\A<title{_ATTRS}>", ""))
+    return F.when(found != "", unescape(text))
 
 
 def meta_description(html: Column) -> Column:
@@ -73,9 +72,9 @@ def anchors(html: Column) -> Column:
 
     Text runs from an anchor's tag to the next ``</a`` or to the next anchor.
     """
-    visible = F.regexp_replace(blank(html), rf"(?i){_SKIPPED}", "")
+    visible = F.regexp_replace(blank(html), rf"(?i)<(?:{_SKIPPED})", "")
     whole = F.regexp_extract_all(
-        visible, F.lit(rf"(?i)(<a(?=[\s/>]){_ATTRS}>(?:(?!</a[\s>]|<a[\s/>])[\s\S])*+)"), F.lit(1))
+        visible, F.lit(rf"(?i)(<a(?=[\s/>]){_ATTRS}>[^<]*+(?:<(?!/a[\s>]|a[\s/>])[^<]*+)*+)"), F.lit(1))
     hrefs_raw = F.transform(whole, lambda a: _attribute(F.regexp_extract(a, rf"(?i)^<a({_ATTRS})>", 1), "href"))
     texts_raw = F.transform(whole, lambda a: inner_text(F.regexp_replace(a, rf"(?i)^<a{_ATTRS}>", "")))
     linked = F.transform(hrefs_raw, lambda h: h.isNotNull())

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leadloom.constants import REDACTED, SECRET_WORDS, UNKNOWN
+from leadloom.constants import REDACTED, SECRET_STEMS, SECRET_WORDS, UNKNOWN
 from leadloom.functions.udfs import fold_unicode, unescape_arrays, unescape_texts
 
 # white space as Unicode sees it, as a Java character class body
@@ -51,7 +51,10 @@ def quote(words: Iterable[str]) -> str:
 def mask_secrets(text: Column) -> Column:
     """Replace the value after ``<secret word> = `` or ``: `` by a marker."""
     pattern = f"(?i)({SECRET_WORDS})([{SPACE}]*[=:][{SPACE}]*)([^{SPACE},;]+)"
-    return F.regexp_replace(text, F.lit(pattern), F.lit(f"$1$2{REDACTED}"))
+    masked = F.regexp_replace(text, F.lit(pattern), F.lit(f"$1$2{REDACTED}"))
+    # a plain search first: most texts hold no such word and skip the pattern
+    possible = any_of(F.lower(text), SECRET_STEMS)
+    return F.when(possible, masked).otherwise(text)
 
 
 def title_case(text: Column) -> Column:
