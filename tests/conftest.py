@@ -12,6 +12,8 @@ def spark():
 
     session = (SparkSession.builder.master("local[8]").appName("leadloom-tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+               # tiny tables: compiling a stage costs more than running it
+               .config("spark.sql.codegen.wholeStage", "false")
                .config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")

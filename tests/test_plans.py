@@ -1,9 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadloom import Params
-from leadloom.operators.merge import merge_counts
 from leadloom.plans.harvest import Inputs, channel_state, harvest, run_report, store
 from leadloom.schemas import CACHE_DDL, LEAD_FIELDS, candidates_from
 from leadloom.sources.tables import append_report, empty_leads, read_leads
@@ -31,9 +31,14 @@ def inputs(spark):
                   spark.createDataFrame(results, "query STRING, html STRING, failed BOOLEAN"), spark.createDataFrame(cache, CACHE_DDL))
 
 
-def test_whole_run(spark, tmp_path):
+@pytest.fixture(scope="module")
+def finished(spark):
     given = inputs(spark)
-    result = harvest(given, P)
+    return given, harvest(given, P)
+
+
+def test_whole_run(spark, tmp_path, finished):
+    given, result = finished
     leads = {r.name: r for r in result.leads.collect()}
     assert set(leads) == {"Ann", "Bob", "Cleo"}
     ann, bob, cleo = leads["Ann"], leads["Bob"], leads["Cleo"]
@@ -50,24 +55,26 @@ def test_whole_run(spark, tmp_path):
     assert report.instagram_found_per_lookup == 1.0 and report.verified_emails_per_website == 1.0
     append_report(run_report(given, result, counts, P, "run"), str(tmp_path / "reports"))
     assert spark.read.json(str(tmp_path / "reports")).count() == 1
-    # the same run again: nothing new, the same table
+    # the same leads again: nothing new, the same table
     stored = read_leads(spark, str(tmp_path / "v1"))
-    again = store(stored, harvest(given, P).leads, P, str(tmp_path / "v2")).first()
+    again = store(stored, result.leads, P, str(tmp_path / "v2")).first()
     assert (again.new_leads, again.updated_leads) == (0, 3)
     assert read_leads(spark, str(tmp_path / "v2")).orderBy("row_no").collect() == stored.orderBy("row_no").collect()
     state = channel_state(spark.createDataFrame([], "channel_id STRING, checked_at STRING"), result.unique, P)
     assert [tuple(r) for r in state.collect()] == [("UC1", P.as_of)]
 
 
-def test_limits_and_email_first(spark, tmp_path):
-    given = inputs(spark)
-    limited = harvest(given, Params(as_of=P.as_of, target_niches=("shop",), min_score=20, target_leads=1, max_enrichments=0))
-    only = limited.leads.collect()
-    assert [(r.name, r.email, r.website) for r in only] == [("Ann", "joe@a.org", "https://www.a.org/x")]
-    first = Params(as_of=P.as_of, target_niches=("shop",), min_score=20, email_first=True)
-    counts = store(empty_leads(spark), harvest(given, first).leads, first, str(tmp_path / "v"))
+def test_limits(spark):
+    limited = harvest(inputs(spark), Params(as_of=P.as_of, target_niches=("shop",), min_score=20, target_leads=1, max_enrichments=0))
+    assert [(r.name, r.email, r.website) for r in limited.leads.collect()] == [("Ann", "joe@a.org", "https://www.a.org/x")]
+
+
+def test_email_first(spark, tmp_path, finished):
+    given, result = finished
+    first = Params(as_of=P.as_of, email_first=True)
+    counts = store(empty_leads(spark), result.leads, first, str(tmp_path / "v"))
     assert counts.first().new_leads == 2 and {r.name for r in read_leads(spark, str(tmp_path / "v")).collect()} == {"Ann", "Bob"}
-    report = run_report(given, harvest(given, first), counts, first, "r", errors=1).first()
+    report = run_report(given, result, counts, first, "r", errors=1).first()
     assert (report.mode, report.run_status) == ("EMAIL_FIRST_VERIFIED_ONLY", "SUCCESS_WITH_WARNINGS")
 
 
