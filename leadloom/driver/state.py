@@ -151,7 +151,7 @@ SELECT c_custkey, 'm' || c_custkey || '@x.test' AS email, coalesce(url, '') AS c
 FROM customer LEFT JOIN cache ON c_custkey = user_id""")
 def cache_lookup(spark, sf_dir):
     leads = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("m"), F.col("c_custkey"), F.lit("@x.test")).alias("email"))
-    looked = split_by_cache(leads, _cache(table(spark, sf_dir, "events")), NOW)
+    looked = split_by_cache(leads, _cache(table(spark, sf_dir, "events")), NOW, "c_custkey")
     return looked.select("c_custkey", "email", F.coalesce("c_url", F.lit("")).alias("cached_url"), "fresh")
 
 

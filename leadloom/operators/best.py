@@ -24,7 +24,9 @@ def best_emails(candidates: DataFrame, site_best: DataFrame, params: Params) ->
     """
     own = candidates.withColumn(
         "_text_best", best_of_array(extract_emails(F.coalesce("raw_text", F.lit("")), params)))
-    both = own.join(site_best, own["site_domain"] == site_best["domain"], "left").drop(site_best["domain"])
+    # candidates without a site match nothing; a key of their own spreads them over the tasks
+    spread = own.withColumn("_site", F.coalesce("site_domain", F.concat(F.lit("#"), F.col("ord"))))
+    both = spread.join(site_best.withColumnRenamed("domain", "_site"), "_site", "left").drop("_site")
     from_text = F.coalesce(F.col("_text_best.preference") >= F.coalesce("site_preference", F.lit(-1)), F.lit(False))
     source = F.when(F.coalesce("profile_url", F.lit("")) != "", F.col("profile_url")).otherwise(F.col("website"))
     email = F.when(from_text, F.col("_text_best.email")).otherwise(F.col("site_email"))

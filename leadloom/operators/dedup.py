@@ -7,7 +7,7 @@ is dropped, and the rest goes on. Each round decides at least the earliest row l
 end without a cap.
 
 Only ``(order, keys)`` takes part. Per key there is a minimum, which combines before the shuffle, and
-a join against at most one row per key, whose larger side AQE splits when a key is hot. Rows with
+a join against at most one row per key; the hottest keys are taken out before that join. Rows with
 the same set of keys are first reduced to the earliest one, since the others can never be kept.
 """
 
@@ -23,16 +23,30 @@ from leadloom.functions.ids import candidate_keys
 from leadloom.operators.checkpoints import cut
 
 
+# a key with that many rows is hot; at most so many hot keys are broadcast, in order of their rows
+HOT_HOLDERS = 100_000
+HOT_KEYS = 1_000
+
+
 def _first_holders(edges: DataFrame) -> DataFrame:
     """Keys whose earliest holder is the earliest holder of all of its keys."""
     per_key = edges.groupBy("key").agg(
-        F.min("ord").alias("ord"), F.min_by("keys_held", "ord").alias("keys_held"))
+        F.min("ord").alias("ord"), F.min_by("keys_held", "ord").alias("keys_held"),
+        F.count(F.lit(1)).alias("holders"))
     won = F.count(F.lit(1)).over(Window.partitionBy("ord"))
-    return per_key.withColumn("won", won).filter("won = keys_held").select("key", "ord")
+    return per_key.withColumn("won", won).filter("won = keys_held").select("key", "ord", "holders")
 
 
 def _untouched(edges: DataFrame, taken: DataFrame) -> DataFrame:
-    """Rows none of whose keys is taken, again as ``(ord, keys)``."""
+    """Rows none of whose keys is taken, again as ``(ord, keys)``.
+
+    The hottest taken keys, a fixed number at most, are dropped where they lie, before the shuffle;
+    the others go through the shuffled join, so nothing depends on that number.
+    """
+    hot = taken.filter(F.col("holders") >= HOT_HOLDERS)
+    if not hot.isEmpty():
+        hottest = hot.orderBy(F.desc("holders"), "key").limit(HOT_KEYS).select("key")
+        edges = edges.join(F.broadcast(hottest), "key", "left_anti")
     free = edges.join(taken.select("key"), "key", "left_anti")
     return (free.groupBy("ord", "keys_held").agg(F.collect_list("key").alias("keys"))
             .filter(F.size("keys") == F.col("keys_held")).select("ord", "keys"))
@@ -46,12 +60,9 @@ def kept_orders(rows: DataFrame) -> DataFrame:
     while not open_rows.isEmpty():
         edges = open_rows.select(
             "ord", F.size("keys").alias("keys_held"), F.explode("keys").alias("key"))
-        taken = _first_holders(edges)
-        # kept rows leave without keys; both parts read the same shuffle of minima
-        decided = cut(taken.select("ord").distinct().select("ord", F.lit(None).cast("array<string>").alias("keys"))
-                      .unionAll(_untouched(edges, taken)))
-        kept = kept.unionAll(decided.filter("keys IS NULL").select("ord"))
-        open_rows = decided.filter("keys IS NOT NULL")
+        taken = cut(_first_holders(edges))
+        kept = kept.unionAll(taken.select("ord").distinct())
+        open_rows = cut(_untouched(edges, taken))
     return kept
 
 

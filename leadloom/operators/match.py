@@ -23,6 +23,10 @@ from leadloom.operators.order import first_rows
 from leadloom.params import Params
 
 
+# tasks that share the leads of one generic mailbox
+SALTS = 64
+
+
 def profiles_in_results(results: DataFrame) -> DataFrame:
     """``(query, failed, found)`` with ``found`` an array of distinct ``(profile, title)`` by rank."""
     linked = results.select(
@@ -97,14 +101,29 @@ def compact_each(titles: Column) -> Column:
     return F.transform(folded, lambda w: F.substring(w, 2, 1 << 30))
 
 
+def _answered(queries: DataFrame, found: DataFrame) -> DataFrame:
+    """Queries with their result row.
+
+    Very many leads may share the first query of a generic mailbox. These queries are known in
+    advance, so their few result rows are repeated under every salt and their leads spread over the
+    salts. Leads without a query match nothing and are spread as well.
+    """
+    shared = F.col("query").isin([f"{local} instagram" for local in k.GENERIC_LOCALS])
+    salt = F.pmod(F.xxhash64("lead_id"), F.lit(SALTS)).cast("int")
+    left = queries.withColumns({
+        "_query": F.coalesce("query", F.concat(F.lit("#"), F.col("lead_id"))),
+        "_salt": F.when(shared, salt).otherwise(0)})
+    salts = F.when(shared, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = found.select(F.col("query").alias("_query"), "failed", "found", F.explode(salts).alias("_salt"))
+    return left.join(right, ["_query", "_salt"], "left").drop("_query", "_salt")
+
+
 def find_profiles(leads: DataFrame, results: DataFrame, params: Params) -> DataFrame:
     """``(lead_id, url, status, query, confidence)``: the chosen profile of every lead.
 
     The second query of a lead counts only when the first one did not reach the wanted confidence.
     """
-    queries = lookup_queries(leads)
-    answered = queries.join(profiles_in_results(results), "query", "left")
-    scored = score_results(answered)
+    scored = score_results(_answered(lookup_queries(leads), profiles_in_results(results)))
     failed = F.coalesce("failed", F.lit(True)) & F.col("query").isNotNull()
     tried = scored.select(
         "lead_id", "query_no", "query", "first_query", failed.alias("failed"),
@@ -133,8 +152,12 @@ def find_profiles(leads: DataFrame, results: DataFrame, params: Params) -> DataF
         F.round(F.when(F.col("skipped") | error, zero).otherwise(best), 3).alias("confidence"))
 
 
-def split_by_cache(leads: DataFrame, cache: DataFrame, params: Params) -> DataFrame:
-    """Leads with ``fresh`` and the cached answer; the cache has one row per email."""
+def split_by_cache(leads: DataFrame, cache: DataFrame, params: Params, order: str = "ord") -> DataFrame:
+    """Leads with ``fresh`` and the cached answer; the cache has one row per email.
+
+    Leads without an address match nothing; a key of their own, from the unique column ``order``,
+    spreads them over the tasks.
+    """
     from leadloom.functions.dates import within_days
 
     named = cache.select(
@@ -142,7 +165,9 @@ def split_by_cache(leads: DataFrame, cache: DataFrame, params: Params) -> DataFr
         F.col("query").alias("c_query"), "checked_at")
     known = F.col("c_email").isNotNull()
     recent = within_days(F.col("checked_at"), params.cache_ttl_days, params, inclusive=True)
-    joined = leads.join(named, leads["email"] == F.col("c_email"), "left")
+    blank_key = F.concat(F.lit("#"), F.col(order))
+    keyed = leads.withColumn("_key", F.when(blank(F.col("email")) == "", blank_key).otherwise(F.col("email")))
+    joined = keyed.join(named, F.col("_key") == F.col("c_email"), "left").drop("_key")
     return joined.withColumn(
         "fresh", known & ((blank(F.col("c_url")) != "") | recent)).drop("c_email", "checked_at")
 
@@ -153,7 +178,7 @@ def backfill_candidates(leads: DataFrame, cache: DataFrame, params: Params, orde
     they are."""
     wanted = ((strip(blank(F.col("email"))) != "") & (strip(blank(F.col("email_status"))) == k.VERIFIED)
               & (strip(blank(F.col("instagram_url"))) == ""))
-    looked = split_by_cache(leads, cache, params)
+    looked = split_by_cache(leads, cache, params, order)
     action = (F.when(wanted & ~F.col("fresh"), "lookup")
               .when(wanted & (blank(F.col("c_url")) != ""), "cached"))
     marked = looked.withColumn("action", action)

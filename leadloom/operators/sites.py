@@ -88,9 +88,11 @@ def visit_sites(parsed: DataFrame, params: Params, sites: DataFrame | None = Non
         fresh = (links.groupBy("domain", "page").agg(F.min(F.struct("visit_no", "i")).alias("queue"))
                  .join(visited.select("page"), "page", "left_anti"))
         found = fresh.join(used, "domain").join(pages.drop("domain"), "page")
+        # the first filter also cuts each task's links before they meet in one place
         level = cut(
-            found.withColumn("visit_no", F.col("used") + turn)
-            .filter(F.col("visit_no") <= limit).drop("queue", "used").select(*visited.columns))
+            found.withColumn("turn", turn).filter(F.col("turn") <= limit)
+            .withColumn("visit_no", F.col("used") + F.col("turn"))
+            .filter(F.col("visit_no") <= limit).select(*visited.columns))
         visited = visited.unionByName(level)
     return visited.select("domain", "visit_no", "page", "url", "emails", "socials")
 

@@ -120,7 +120,7 @@ def cache_frame(spark, rows):
 def test_cache(spark):
     cache = cache_frame(spark, [("a@x.org", "u", "F", "q", 1.0, "long ago"), ("b@x.org", "", "NOT_FOUND", "q", 0.1, "2026-08-10T12:00:00+00:00"),
                                 ("c@x.org", "", "NOT_FOUND", "q", 0.1, "2026-08-10T11:59:59+00:00")])
-    leads = spark.createDataFrame([(e,) for e in ("a@x.org", "b@x.org", "c@x.org", "d@x.org", "")], "email STRING")
+    leads = spark.createDataFrame(list(enumerate(("a@x.org", "b@x.org", "c@x.org", "d@x.org", ""))), "ord BIGINT, email STRING")
     assert {r.email: r.fresh for r in split_by_cache(leads, cache, P).collect()} == {"a@x.org": True, "b@x.org": True, "c@x.org": False, "d@x.org": False, "": False}
 
 
