@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.driver.adapters import PARAMS, STORED_SQL, customer_candidates, stored_leads, stored_pages
+from leadloom.driver.adapters import PARAMS, SCORED_SQL, STORED_SQL, customer_candidates, stored_leads, stored_pages
 from leadloom.driver.registry import query, table
+from leadloom.driver.text import emails_sql
 from leadloom.operators.match import backfill_candidates, find_profiles, lookup_queries
 from leadloom.plans.harvest import Inputs, harvest
 
@@ -99,8 +100,20 @@ def backfill_choice(spark, sf_dir):
     return backfill_candidates(stored_leads(spark, sf_dir), cache, PARAMS).select("row_no", "action")
 
 
-@query("harvest_leads")
+_HARVEST_FIELDS = ["lead_id", "discovered_at", "source", "name", "website", "email", "email_status", "email_source_url", "niche", "country",
+                   "language", "followers", "content_type", "caption_opportunity", "lead_score", "classification", "status", "instagram_status"]
+
+
+@query("harvest_leads", f"""
+WITH {SCORED_SQL}, {emails_sql('documents', 'doc_id', 'text')},
+best AS (SELECT doc_id, email FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY preference DESC, i) AS rn FROM ranked) WHERE rn = 1),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY website ORDER BY c_custkey) AS rn FROM classed)
+SELECT substring(sha256('CUSTOMER:' || c_custkey), 1, 24) AS lead_id, '2001-08-01T00:00:00+00:00' AS discovered_at, 'CUSTOMER' AS source, name, website,
+       coalesce(email, '') AS email, CASE WHEN email IS NULL THEN 'UNKNOWN' ELSE 'VERIFIED_PUBLIC_SOURCE' END AS email_status,
+       CASE WHEN email IS NULL THEN '' ELSE website END AS email_source_url, niche, country, language, followers, content_type, caption_opportunity,
+       CAST(score AS INT) AS lead_score, classification, 'NEW' AS status, 'NOT_CHECKED' AS instagram_status
+FROM firsts LEFT JOIN best ON doc_id = c_custkey WHERE (website = '' OR rn = 1) AND score >= 55""")
 def harvest_leads(spark, sf_dir):
     """The whole run over all customers, with the pages as sites and no search answers."""
     candidates = customer_candidates(spark, sf_dir)
-    return harvest(Inputs(candidates, stored_pages(spark, sf_dir)), PARAMS).leads
+    return harvest(Inputs(candidates, stored_pages(spark, sf_dir)), PARAMS).leads.select(*_HARVEST_FIELDS)
