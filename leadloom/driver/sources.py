@@ -126,7 +126,7 @@ def seed_candidates_query(spark, sf_dir):
 
 @query("web_candidates", f"""
 WITH {CANONICAL_SQL},
-heads AS (SELECT page_id, trim(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&quot;', '"'), '&amp;', '&')) AS t FROM pages)
+heads AS (SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&quot;', '"'), '&amp;?', '&', 'g')) AS t FROM pages)
 SELECT page_id, domain AS provider_id, url AS profile_url, 'https://' || domain AS website, CASE WHEN t = '' THEN domain ELSE t END AS name, t || ' ' AS raw_text
 FROM canon JOIN heads USING (page_id)""")
 def web_candidates(spark, sf_dir):

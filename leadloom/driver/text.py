@@ -126,7 +126,7 @@ def mask_secrets_query(spark, sf_dir):
 
 @query("page_heads", """
 WITH raw AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages)
-SELECT page_id, trim(replace(replace(t, '&quot;', '"'), '&amp;', '&')) AS title, '' AS description FROM raw""")
+SELECT page_id, trim(regexp_replace(replace(t, '&quot;', '"'), '&amp;?', '&', 'g')) AS title, '' AS description FROM raw""")
 def page_heads(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id", title(F.col("html")).alias("title"), meta_description(F.col("html")).alias("description"))

@@ -72,6 +72,18 @@ def safe_int(value: Column) -> Column:
     return F.when(trimmed.rlike(r"^[+-]?[0-9]+$"), trimmed.try_cast("bigint"))
 
 
+def is_json(text: Column) -> Column:
+    """True when the whole text is one JSON value.
+
+    The parser stops after the first value. What may follow it inside an array and inside an object
+    differs, so text with anything behind the value fails one of the two.
+    """
+    inside_array = F.concat(F.lit("["), text, F.lit("]"))
+    inside_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    parsed = [F.try_parse_json(x).isNotNull() for x in (text, inside_array, inside_object)]
+    return parsed[0] & parsed[1] & parsed[2]
+
+
 _ENTITY = r"&(#[0-9xX]|[A-Za-z])"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadloom.constants import STATE_DEFAULTS
 from leadloom.functions.dates import within_days
+from leadloom.functions.text import is_json
 from leadloom.operators.order import first_per_group, last_rows
 from leadloom.params import Params
 from leadloom.schemas import STATE_DDL
@@ -125,8 +126,7 @@ def missing_defaults(spark: SparkSession, state: DataFrame) -> DataFrame:
 
 def readable_state(rows: DataFrame) -> DataFrame:
     """Rows with a key and valid JSON text; the last one of a repeated key (by ``row_no``) counts."""
-    probe = F.try_parse_json("value")
-    valid = rows.filter((F.coalesce("key", F.lit("")) != "") & probe.isNotNull())
+    valid = rows.filter((F.coalesce("key", F.lit("")) != "") & is_json(F.col("value")))
     return valid.groupBy("key").agg(F.max_by("value", "row_no").alias("value"))
 
 

@@ -61,7 +61,8 @@ def test_refresh(spark):
 
 
 def test_json_state(spark, tmp_path):
-    state = spark.createDataFrame([("failed_jobs", '{"é":1}', 0), ("x", "{bad", 1), ("", "1", 2), ("y", "[1]", 3), ("y", "[2]", 4), ("z", "", 5)], "key STRING, value STRING, row_no BIGINT")
+    state = spark.createDataFrame([("failed_jobs", '{"é":1}', 0), ("x", "{bad", 1), ("", "1", 2), ("y", "[1]", 3), ("y", "[2]", 4), ("z", "", 5), ("t1", "1 2", 6), ("t2", '{"a":1} x', 7),
+                                   ("t3", "1] , [2", 8), ("t4", '1, "x": 2', 9), ("t5", '1} , {"a":2', 10), ("t6", "1, 2", 11)], "key STRING, value STRING, row_no BIGINT")
     write_state_json(missing_defaults(spark, readable_state(state)), str(tmp_path / "s"))
     back = readable_state(read_state_json(spark, str(tmp_path / "s")))
     got = {r.key: r.value for r in back.collect()}
