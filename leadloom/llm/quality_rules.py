@@ -1,8 +1,8 @@
 """Weak supervision of quality, by built-in expressions alone.
 
 Six rules look at the statistics of a text and vote good (1), bad (-1) or abstain (0). Expectation-maximisation over the
-counted vote patterns (at most 3**6 rows, whatever the input) estimates how often each rule is right and how common good
-texts are; the posterior probability of a pattern replaces all-must-pass filtering.
+counted vote patterns (at most 3**6 rows, whatever the input) estimates how often each rule is right on good and on bad
+texts, and how common good texts are; the posterior probability of a pattern replaces all-must-pass filtering.
 
 Statistics of null texts are those of an empty one; every input row gives one row, null and repeated ids too; further
 columns are not read. Of an empty table there is nothing to learn and nothing to return.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm.common import keep
 
-ROUNDS, START, LOWEST, HIGHEST = 20, 0.8, 0.05, 0.99
+ROUNDS, START_GOOD, START_BAD, LOWEST, HIGHEST = 20, 0.9, 0.6, 0.01, 0.999
 #: name -> (bad if, good if) over the statistics; neither: the rule abstains
 RULES = {
     "length": ("n_words < 50", "n_words >= 80"),
@@ -65,15 +65,17 @@ def posteriors(voted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     patterns = (voted.groupBy(*VOTES).agg(F.count("*").cast("double").alias("n"))
                 .select(F.array(*VOTES).alias("v"), "n").agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("p")))
     clip = f"greatest({LOWEST}D, least({HIGHEST}D, {{}}))"
-    q = ("1D / (1D + exp(-(ln(s.prior / (1D - s.prior)) + "
-         "aggregate(zip_with(x.v, s.acc, (v, a) -> v * ln(a / (1D - a))), 0D, (t, w) -> t + w))))")
+    q = ("1D / (1D + exp(-(ln(s.prior / (1D - s.prior)) + aggregate(zip_with(x.v, s.acc, (v, a) -> CASE v "
+         "WHEN 1 THEN ln(a.good / (1D - a.bad)) WHEN -1 THEN ln((1D - a.good) / a.bad) ELSE 0D END), 0D, (t, w) -> t + w))))")
     weighed = f"transform(p, x -> named_struct('v', x.v, 'n', x.n, 'q', {q}))"
-    right = ("aggregate(z, 0D, (t, x) -> t + x.n * (CASE x.v[i] WHEN 1 THEN x.q WHEN -1 THEN 1D - x.q ELSE 0D END)) / "
-             "aggregate(z, 0D, (t, x) -> t + x.n * abs(x.v[i]))")
+    right = ("aggregate(z, 0D, (t, x) -> t + CASE x.v[i] WHEN {0} THEN x.n * {1} ELSE 0D END) / "
+             "aggregate(z, 0D, (t, x) -> t + CASE x.v[i] WHEN 0 THEN 0D ELSE x.n * {1} END)")
+    good, bad = clip.format(right.format(1, "x.q")), clip.format(right.format(-1, "(1D - x.q)"))
     prior = "aggregate(z, 0D, (t, x) -> t + x.n * x.q) / aggregate(z, 0D, (t, x) -> t + x.n)"
     update = (f"transform(array({weighed}), z -> named_struct('prior', {clip.format(prior)}, 'acc', "
-              f"transform(sequence(0, {len(VOTES) - 1}), i -> coalesce({clip.format(right)}, {START}D))))[0]")
-    start = f"named_struct('prior', 0.5D, 'acc', array_repeat({START}D, {len(VOTES)}))"
+              f"transform(sequence(0, {len(VOTES) - 1}), i -> named_struct('good', coalesce({good}, {START_GOOD}D), "
+              f"'bad', coalesce({bad}, {START_BAD}D)))))[0]")
+    start = f"named_struct('prior', 0.5D, 'acc', array_repeat(named_struct('good', {START_GOOD}D, 'bad', {START_BAD}D), {len(VOTES)}))"
     fitted = patterns.where("size(p) > 0").select("p", F.expr(f"aggregate(sequence(1, {rounds}), {start}, (s, k) -> {update})").alias("s"))
     rows = fitted.select("s", F.explode("p").alias("x"))
     return rows.select(*[F.col("x.v")[i].alias(v) for i, v in enumerate(VOTES)], F.expr(q).alias("posterior"),
@@ -94,13 +96,16 @@ def oracle() -> str:
     w = [f"v{i}" for i in range(len(RULES))]
     votes = ", ".join(f"{vote(*c)} AS v{i}" for i, c in enumerate(RULES.values()))
     clip = f"greatest({LOWEST}, least({HIGHEST}, {{}}))"
-    steps = ["par0 AS MATERIALIZED (SELECT 0.5::DOUBLE AS prior, " + ", ".join(f"{START}::DOUBLE AS a{i}" for i in range(len(w))) + ")"]
-    q = "1 / (1 + exp(-(ln(prior / (1 - prior)) + " + " + ".join(f"v{i} * ln(a{i} / (1 - a{i}))" for i in range(len(w))) + ")))"
+    each = range(len(w))
+    steps = ["par0 AS MATERIALIZED (SELECT 0.5::DOUBLE AS prior, "
+             + ", ".join(f"{START_GOOD}::DOUBLE AS g{i}, {START_BAD}::DOUBLE AS b{i}" for i in each) + ")"]
+    terms = " + ".join(f"CASE v{i} WHEN 1 THEN ln(g{i} / (1 - b{i})) WHEN -1 THEN ln((1 - g{i}) / b{i}) ELSE 0 END" for i in each)
+    q = f"1 / (1 + exp(-(ln(prior / (1 - prior)) + {terms})))"
+    share = "sum(CASE v{0} WHEN {1} THEN n * {2} ELSE 0 END) / nullif(sum(CASE v{0} WHEN 0 THEN 0 ELSE n * {2} END), 0)"
     for k in range(1, ROUNDS + 1):
         steps.append(f"post{k} AS MATERIALIZED (SELECT p.*, {q} AS q FROM pat p, par{k - 1})")
-        accuracy = ", ".join(
-            f"coalesce({clip.format(f'sum(n * CASE v{i} WHEN 1 THEN q WHEN -1 THEN 1 - q ELSE 0 END) / nullif(sum(n * abs(v{i})), 0)')}, {START}) AS a{i}"
-            for i in range(len(w)))
+        accuracy = ", ".join(f"coalesce({clip.format(share.format(i, v, p))}, {start}) AS {name}{i}" for i in each
+                             for v, p, start, name in ((1, "q", START_GOOD, "g"), (-1, "(1 - q)", START_BAD, "b")))
         steps.append(f"par{k} AS MATERIALIZED (SELECT {clip.format('sum(n * q) / sum(n)')} AS prior, {accuracy} FROM post{k})")
     return rf"""
 WITH d AS (

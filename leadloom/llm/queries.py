@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadloom.llm import decontaminate as dc
-from leadloom.llm import piece_codec, quality_model, quality_rules, token_counts, token_files, toxic_spans
+from leadloom.llm import class_model, piece_codec, quality_model, quality_rules, token_counts, token_files, toxic_spans
 from leadloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op4_quality_classifier(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5_class_model(spark, sf_dir):
+    return class_model.class_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark, sf_dir):
     found = dc.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 13)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -52,6 +56,6 @@ def op9_toxicity(spark, sf_dir):
                          F.size("spans").alias("n_spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_token_files, op4_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_token_files, op4_quality_classifier, op5_class_model,
                                    op6_decontamination, op7_sentencepiece, op9_toxicity)}
 ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.oracle()}

@@ -1,8 +1,7 @@
 """Toxic spans by a linear-chain conditional random field with two tags.
 
 Labels are of documents, so tokens get theirs first: words that separate toxic from other documents of a bounded sample
-are chosen greedily, each for toxic documents that no chosen word explains yet; in toxic documents these words are the
-toxic tokens. The field (features of a word, of its neighbours, and the step between tags) is fitted to the sample by
+are chosen if they stand between many different neighbours there; in toxic documents these words are the toxic tokens. The field (features of a word, of its neighbours, and the step between tags) is fitted to the sample by
 forward-backward expectations, and applied to all texts: a document's score is calibrated from its largest marginal, and
 the tokens beyond a half are returned as offending offsets. A chain has ``CHAIN`` tokens, a longer text several; no token
 is left out. Null texts are empty and have no tokens; every input row gives one row; further columns are not read. Without
@@ -22,7 +21,7 @@ from leadloom.llm.common import fold_of, id_type, map_texts
 
 CHAIN, HASHED = 64, 1 << 16
 #: of labelled documents: at most so many of each kind, none longer than so many bytes, are used to learn
-SAMPLE_DOCS, SAMPLE_BYTES = 3_000, 50_000
+SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 50_000
 EDGES = re.compile(rb"^[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+$").sub
 
 
@@ -76,26 +75,19 @@ def marginals(emission: np.ndarray, real: np.ndarray, step: np.ndarray):
 
 
 def lexicon(docs: list[tuple[list[bytes], int]]) -> set[bytes]:
-    """Words chosen one by one: seen in (nearly) only toxic documents, explaining most of those not yet explained."""
-    toxic, clean = {}, {}
+    """Words that (nearly) only toxic documents have, between many different neighbours: copies of one text count once."""
+    contexts, toxic, clean = {}, {}, {}
     n_toxic = sum(y for _, y in docs)
-    for number, (words, y) in enumerate(docs):
-        for w in set(map(bare, words)):
-            if y:
-                toxic.setdefault(w, set()).add(number)
-            else:
-                clean[w] = clean.get(w, 0) + 1
-    least = max(3, n_toxic // 100)
-    open_ = {w: d for w, d in toxic.items() if len(d) >= least and len(d) >= 10 * clean.get(w, 0)}
-    chosen = set()
-    while open_:
-        best = max(open_, key=lambda w: (len(open_[w]), w))
-        if len(open_[best]) < least:
-            break
-        chosen.add(best)
-        explained = open_.pop(best)
-        open_ = {w: d - explained for w, d in open_.items() if len(d - explained) >= least}
-    return chosen
+    for own, y in docs:
+        words = [bare(w) for w in own]
+        counts = toxic if y else clean
+        for w in set(words):
+            counts[w] = counts.get(w, 0) + 1
+        if y:
+            for before, w, after in zip([b"", *words], words, [*words[1:], b""]):
+                contexts.setdefault(w, set()).add((before, after))
+    least = max(3, n_toxic // 50)
+    return {w for w, c in contexts.items() if len(c) >= least and least <= toxic[w] and 10 * clean.get(w, 0) <= toxic[w]}
 
 
 class Field:
@@ -106,8 +98,9 @@ class Field:
         self.bias, self.step = 0.0, np.zeros((2, 2))
         self.slope, self.offset = 0.0, float(np.log(share / (1 - share)))
 
-    def of_word(self, word: bytes) -> np.ndarray:
-        return self.weights[:, places(word)].sum(axis=1)
+    def of_words(self, words: list[bytes]) -> np.ndarray:
+        """What each word adds at its own, the next and the previous place."""
+        return self.weights[:, np.array([places(w) for w in words])].sum(axis=2).T
 
     def emission(self, scores: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Score of each token from those of its word and neighbours; ``starts`` are first tokens of documents."""
@@ -139,7 +132,7 @@ class Field:
         return 1 / (1 + np.exp(-(self.slope * np.log(p / (1 - p)) + self.offset)))
 
 
-def fit(docs: list[tuple[list[bytes], int]], rounds: int = 60, rate: float = 0.3, penalty: float = 1e-3, clean_chains: int = 6_000) -> Field:
+def fit(docs: list[tuple[list[bytes], int]], rounds: int = 40, rate: float = 0.4, penalty: float = 1e-3, clean_chains: int = 3_000) -> Field:
     """Fit to documents ``(lower-case words, toxic)``: chains with toxic tokens, and a bounded number of others."""
     n, n_toxic = len(docs), sum(y for _, y in docs)
     field = Field((n_toxic + 1) / (n + 2))
@@ -231,19 +224,17 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_i
 
     def make():
         model = shared.value
-        number, table = {}, np.zeros((1 << 12, 3))
+        number, table = {}, np.zeros((0, 3))
 
         def step(rows, texts):
             nonlocal table
             split = [t.lower().split() for t in texts]
             if len(number) > 500_000:
                 number.clear()
-            fresh = {w for words in split for w in words}.difference(number)
-            for w in fresh:
-                at = number[w] = len(number)
-                if at >= len(table):
-                    table = np.concatenate([table, np.zeros_like(table)])
-                table[at] = model.of_word(w)
+            fresh = list({w for words in split for w in words}.difference(number))
+            if fresh:
+                table = np.concatenate([table[:len(number)], model.of_words(fresh)])
+                number.update(zip(fresh, range(len(number), len(table))))
             lengths = np.array([len(w) for w in split])
             p = model.tag(table[np.array([number[w] for words in split for w in words], dtype=np.int64)], lengths)
             spans, at = [], 0
