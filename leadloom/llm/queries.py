@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadloom.llm import decontaminate as dc
-from leadloom.llm import class_model, piece_codec, quality_model, quality_rules, token_counts, token_files, toxic_spans
+from leadloom.llm import class_model, near_dedup, piece_codec, quality_model, quality_rules, token_counts, token_files, toxic_spans
 from leadloom.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op7_sentencepiece(spark, sf_dir):
     return piece_codec.piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op9_toxicity(spark, sf_dir):
     scored = toxic_spans.toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
@@ -57,5 +61,5 @@ def op9_toxicity(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_token_files, op4_quality_classifier, op5_class_model,
-                                   op6_decontamination, op7_sentencepiece, op9_toxicity)}
+                                   op6_decontamination, op7_sentencepiece, op8_near_dedup, op9_toxicity)}
 ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.oracle()}
