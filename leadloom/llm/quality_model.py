@@ -1,8 +1,7 @@
 """Quality classifier: gradient-boosted trees over statistics of whole texts.
 
-Statistics of all documents are computed once and written; at most ``sample`` labelled rows (those of the smallest hash
-of the id) are brought to the driver to fit the trees; then all documents are scored from their statistics by the
-flattened trees. Labels that are null, or of no document, are not used; the statistics see the text alone. Null texts
+At most ``sample`` labelled rows (those of the smallest hash of the id) are brought to the driver as statistics to fit the
+trees; then one pass over all texts computes their statistics and scores them by the flattened trees, a slice at a time. Labels that are null, or of no document, are not used; the statistics see the text alone. Null texts
 count as empty and are scored like them; every input row gives one row; further columns are not read.
 """
 
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm import boosting
-from leadloom.llm.common import fold_of, id_type, keep, map_texts
+from leadloom.llm.common import fold_of, id_type, map_texts
 
 SAMPLE_ROWS = 20_000
 CLASSES = {"upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "space": [9, 10, 11, 12, 13, 32], "line": [10],
@@ -57,30 +56,32 @@ def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return map_texts(docs.select(F.col(doc_id), F.col(text)), text, make, f"`{doc_id}` {id_type(docs, doc_id)}, x array<float>")
 
 
-def fit(described: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", sample: int = SAMPLE_ROWS) -> boosting.Forest:
+def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text",
+        sample: int = SAMPLE_ROWS) -> boosting.Forest:
     """Trees learned from at most ``sample`` labelled rows; several labels of one id count as their largest."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("y"))
-    rows = (described.join(known, doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(sample).select("x", "y").toPandas())
+    chosen = F.broadcast(known.orderBy(F.xxhash64(doc_id), doc_id).limit(sample))  # bounded by ``sample``
+    described = statistics(docs.select(doc_id, text).join(chosen.select(doc_id), doc_id, "left_semi"), doc_id, text)
+    rows = described.join(chosen, doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(sample).select("x", "y").toPandas()
     x = np.array(rows["x"].tolist(), dtype=np.float32).reshape(len(rows), len(NAMES))
     return boosting.fit(x, rows["y"].to_numpy(dtype=np.float64))
 
 
-def score(described: DataFrame, forest: boosting.Forest, doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id, score`` of all documents."""
-    shared = described.sparkSession.sparkContext.broadcast(forest)
+def score(docs: DataFrame, forest: boosting.Forest, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, score`` of all documents, in one pass over their texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(forest)
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NAMES))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(x))], names=[doc_id, "score"])
+    def make():
+        def step(rows, texts):
+            return [rows.column(0), shared.value.score(np.array([describe(t) for t in texts], dtype=np.float32))]
+
+        return step
 
-    return described.select(doc_id, "x").mapInArrow(run, f"`{doc_id}` {id_type(described, doc_id)}, score double")
+    return map_texts(docs.select(F.col(doc_id), F.col(text)), text, make, f"`{doc_id}` {id_type(docs, doc_id)}, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
                    sample: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, held_out, score``; labels of ids whose fold is 0 are held out from learning."""
-    described = keep(statistics(docs, doc_id, text), "statistics")
-    forest = fit(described, labels.where(fold_of(doc_id) != 0), label, doc_id, sample)
-    return score(described, forest, doc_id).select(doc_id, (fold_of(doc_id) == 0).alias("held_out"), "score")
+    forest = fit(docs, labels.where(fold_of(doc_id) != 0), label, doc_id, text, sample)
+    return score(docs, forest, doc_id, text).select(doc_id, (fold_of(doc_id) == 0).alias("held_out"), "score")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadloom.llm import decontaminate as dc
-from leadloom.llm import class_model, near_dedup, piece_codec, quality_model, quality_rules, token_counts, token_files, toxic_spans
+from leadloom.llm import class_model, near_dedup, piece_codec, quality_model, quality_rules, substring_dedup, token_counts, token_files, toxic_spans
 from leadloom.llm.common import table
 
 
@@ -60,6 +60,11 @@ def op9_toxicity(spark, sf_dir):
                          F.size("spans").alias("n_spans"))
 
 
+def op10_substring_dedup(spark, sf_dir):
+    found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_token_files, op4_quality_classifier, op5_class_model,
-                                   op6_decontamination, op7_sentencepiece, op8_near_dedup, op9_toxicity)}
+                                   op6_decontamination, op7_sentencepiece, op8_near_dedup, op9_toxicity, op10_substring_dedup)}
 ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.oracle()}
