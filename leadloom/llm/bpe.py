@@ -17,7 +17,7 @@ import sentencepiece
 
 SPACE = "▁"
 CHUNKS = re.compile(r"▁*[^▁\n]+|▁+|\n").findall
-CACHED_CHUNKS, CACHED_LENGTH = 400_000, 48
+CACHED_CHUNKS, CACHED_LENGTH = 400_000, 48  # about 100 bytes each, and the value
 
 
 class PrefixTables:
@@ -153,14 +153,14 @@ def tables(model_file: str) -> PrefixTables:
 class Cached(dict):
     """``chunk -> value``; short chunks are stored, and all are forgotten beyond a fixed number."""
 
-    def __init__(self, value):
+    def __init__(self, value, most: int = CACHED_CHUNKS):
         super().__init__()
-        self.value = value
+        self.value, self.most = value, most
 
     def __missing__(self, chunk):
         value = self.value(chunk)
         if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
+            if len(self) >= self.most:
                 self.clear()
             self[chunk] = value
         return value
