@@ -181,7 +181,7 @@ def rest_pairs(members: DataFrame, parts: DataFrame, tested: DataFrame, most: in
             if not few or not many:
                 continue
             sketches = np.frombuffer(b"".join(r[3] for r in many), np.uint8).reshape(len(many), -1)
-            a, b, more = [], [], []
+            a, b, more, left = [], [], [], False
             for _, key, component, sketch, _ in few:
                 alike = (sketches == np.frombuffer(sketch, np.uint8)).mean(axis=1)
                 taken = {}
@@ -189,14 +189,19 @@ def rest_pairs(members: DataFrame, parts: DataFrame, tested: DataFrame, most: in
                     if alike[k] < LEAST_ESTIMATE:
                         break
                     other = many[k][2]
-                    if other != component:
-                        taken[other] = taken.get(other, 0) + 1
+                    if other == component:
+                        continue
+                    taken[other] = taken.get(other, 0) + 1
+                    if taken[other] <= most:
                         x, y = sorted((key, many[k][1]))
                         a.append(x)
                         b.append(y)
-                        more.append(taken[other] > most)
-                        if taken[other] > most:
-                            a[-1], b[-1] = b"", b""
+                        more.append(False)
+                    elif not left:
+                        left = True
+                        a.append(b"")
+                        b.append(b"")
+                        more.append(True)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(more)], names=["a", "b", "more"])
 
