@@ -7,8 +7,9 @@ compared, so blocks hold those with the longest common prefixes. Within a block
 similarity gives the candidates: one less than classes at most, never all pairs. Candidates are confirmed on full sets and joined to components.
 
 What blocks and forests left out follows: in each region that is not yet one component, the classes outside its largest
-component are compared, in cells of two blocks, with all classes of the region in other components, the most similar
-first, until no untested candidate is left. Nothing is capped: only classes already joined are not compared again.
+component are compared, in cells of two blocks, with all classes of the region in other components, and confirmed on full
+sets there; a pair is compared in the first tree that it shares a region in. Nothing is capped: only classes already
+joined are not compared again.
 
 Null and empty texts have an empty set and are linked with nothing. Repeated rows are copies of each other. A row without
 id is linked like others; the component's id is its smallest known id (null if there is none), and the row is kept only in
@@ -68,23 +69,35 @@ def signature(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def roots(labels: np.ndarray) -> np.ndarray:
+    """32 bits for the region of each set in each tree."""
+    mixed = np.zeros((len(labels), TREES), dtype=np.uint64)
+    for k in range(SHALLOW):
+        mixed = (mixed ^ labels[:, k::DEPTH].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed >> np.uint64(32)).astype(np.uint32)
+
+
 def set_key(own: np.ndarray) -> bytes | None:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
 
 
 def signatures(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, key, labels, sketch``: labels are the hashes tree by tree, a sketch has a byte of each."""
+    """``doc_id, n_shingles, key, labels, sketch, roots``.
+
+    Labels are the minimum hashes tree by tree, a sketch has a byte of each, ``roots`` a hash of each tree's first ones.
+    """
     def make():
         def step(rows, texts):
             sets = shingle_sets(texts, width)
             labels = signature(sets)
             return [rows.column(0), [len(s) for s in sets], [set_key(s) for s in sets], [v.tobytes() for v in labels.astype(">u4")],
-                    [v.tobytes() for v in (labels & 0xFF).astype(np.uint8)]]
+                    [v.tobytes() for v in (labels & 0xFF).astype(np.uint8)], [v.tobytes() for v in roots(labels)]]
 
         return step
 
     return map_texts(docs.select(F.col(doc_id), F.col(text)), text, make,
-                     f"`{doc_id}` {id_type(docs, doc_id)}, n_shingles long, key binary, labels binary, sketch binary")
+                     f"`{doc_id}` {id_type(docs, doc_id)}, n_shingles long, key binary, labels binary, sketch binary, roots binary")
 
 
 def full_sets(docs: DataFrame, width: int, text: str) -> DataFrame:
@@ -158,57 +171,63 @@ def block_pairs(members: DataFrame) -> DataFrame:
     return ordered.select("node", "key", "sketch").mapInArrow(run, "a binary, b binary").distinct()
 
 
-def rest_pairs(members: DataFrame, parts: DataFrame, tested: DataFrame, most: int) -> tuple[DataFrame, bool]:
-    """Untested candidates between components of one region, the ``most`` best per class and component; whether there are more."""
+def rest_links(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components of one region, one for each class and component that have any."""
+    ship(members.sparkSession)
     held = keep(members.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key")), "regions")
     regions = (held.groupBy("node", "component").count().groupBy("node")
                .agg(F.sum("count").alias("n"), F.max("count").alias("n_main"), F.max_by("component", F.struct("count", "component")).alias("main"))
                .where("n > n_main"))
-    rows = held.join(keep(regions, "open-regions"), "node")
+    rows = held.join(keep(regions, "open-regions"), "node").join(sets, "key")
     blocks, outer = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int")
     spread = F.xxhash64("key")
-    inside = rows.select("node", "key", "component", "sketch", F.lit(False).alias("outside"), F.pmod(spread, blocks).cast("int").alias("j"),
+    own = ["node", "key", "component", "sketch", "roots", "shingles"]
+    inside = rows.select(*own, F.lit(False).alias("outside"), F.pmod(spread, blocks).cast("int").alias("j"),
                          F.explode(F.sequence(F.lit(0), outer - 1)).alias("i"))
     outside = rows.where(F.col("component") != F.col("main")).select(
-        "node", "key", "component", "sketch", F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"),
-        F.pmod(spread, outer).cast("int").alias("i"))
-    cells = inside.unionByName(outside).withColumn("cell", F.concat_ws(",", "node", "i", "j"))
+        *own, F.lit(True).alias("outside"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"), F.pmod(spread, outer).cast("int").alias("i"))
+    cells = inside.unionByName(outside).select(F.concat_ws(",", "node", "i", "j").alias("cell"), *own[1:], "outside")
+
+    def linked(row, others, sizes, flat, starts, candidates):
+        """The first candidate of each component that is similar enough."""
+        done = set()
+        mine = np.array(row[5], dtype=np.int64)
+        for k in candidates.tolist():
+            if others[k][2] in done:
+                continue
+            n = sizes[k]
+            shared = np.isin(flat[starts[k]:starts[k] + n], mine, assume_unique=True).sum()
+            if 100 * shared >= percent * (n + len(mine) - shared):
+                done.add(others[k][2])
+                yield sorted((row[1], others[k][1]))
 
     def run(batches):
-        for _, own in grouped(batches, ("cell", "key", "component", "sketch", "outside")):
-            own = list(own)
-            few, many = [r for r in own if r[4]], [r for r in own if not r[4]]
+        for cell, rows in grouped(batches, ("cell", "key", "component", "sketch", "roots", "shingles", "outside")):
+            rows = list(rows)
+            few, many = [r for r in rows if r[6]], [r for r in rows if not r[6]]
             if not few or not many:
                 continue
+            tree = int(cell.split(",")[0].rsplit("-", 1)[1])
             sketches = np.frombuffer(b"".join(r[3] for r in many), np.uint8).reshape(len(many), -1)
-            a, b, more, left = [], [], [], False
-            for _, key, component, sketch, _ in few:
-                alike = (sketches == np.frombuffer(sketch, np.uint8)).mean(axis=1)
-                taken = {}
-                for k in np.argsort(-alike, kind="stable"):
-                    if alike[k] < LEAST_ESTIMATE:
-                        break
-                    other = many[k][2]
-                    if other == component:
-                        continue
-                    taken[other] = taken.get(other, 0) + 1
-                    if taken[other] <= most:
-                        x, y = sorted((key, many[k][1]))
-                        a.append(x)
-                        b.append(y)
-                        more.append(False)
-                    elif not left:
-                        left = True
-                        a.append(b"")
-                        b.append(b"")
-                        more.append(True)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(more)], names=["a", "b", "more"])
-
-    found = keep(cells.repartition("cell").sortWithinPartitions("cell").select("cell", "key", "component", "sketch", "outside")
-                 .mapInArrow(run, "a binary, b binary, more boolean").distinct(), "rest")
-    fresh = keep(found.where("NOT more").select("a", "b").join(tested, ["a", "b"], "left_anti"), "candidates")
-    return fresh, not found.where("more").isEmpty()
+            roots = np.frombuffer(b"".join(r[4] for r in many), np.uint32).reshape(len(many), -1)[:, :tree]
+            number: dict[bytes, int] = {}
+            of = np.array([number.setdefault(r[2], len(number)) for r in many])
+            sizes = np.array([len(r[5]) for r in many])
+            starts = np.cumsum(sizes) - sizes
+            flat = np.concatenate([np.array(r[5], dtype=np.int64) for r in many])
+            pairs = []
+            for row in few:
+                alike = (sketches == np.frombuffer(row[3], np.uint8)).mean(axis=1)
+                n = len(row[5])
+                open_ = ((alike >= LEAST_ESTIMATE) & (of != number.get(row[2], -1)) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                         & ~(roots == np.frombuffer(row[4], np.uint32)[:tree]).any(axis=1))
+                candidates = np.flatnonzero(open_)
+                pairs.extend(linked(row, many, sizes, flat, starts, candidates[np.argsort(-alike[candidates], kind="stable")]))
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return (cells.repartition("cell").sortWithinPartitions("cell")
+            .select("cell", "key", "component", "sketch", "roots", "shingles", "outside").mapInArrow(run, "a binary, b binary").distinct())
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,26 +246,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
     ship(docs.sparkSession)
     known = keep(signatures(docs, width, doc_id, text), "signatures")
     classes = keep(known.where("key IS NOT NULL").groupBy("key").agg(
-        F.min(doc_id).alias("first"), F.first("labels").alias("labels"), F.first("sketch").alias("sketch")), "classes")
+        F.min(doc_id).alias("first"), F.first("labels").alias("labels"), F.first("sketch").alias("sketch"),
+        F.first("roots").alias("roots")), "classes")
     size, cut = DEPTH * 4, SHALLOW * 4
     rows = classes.select("key", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
         "key", F.expr(f"concat(hex(substring(labels, tree * {size} + 1, {cut})), '-', tree)").alias("node"),
         F.expr(f"substring(labels, tree * {size} + {cut + 1}, {size - cut})").alias("deeper"))
     shared = keep(rows.groupBy("node").count().where("count > 1").select("node"), "regions")
-    members = keep(rows.join(shared, "node").join(classes.select("key", "sketch"), "key"), "members")
+    members = keep(rows.join(shared, "node").join(classes.select("key", "sketch", "roots"), "key"), "members")
     alike = members.select("key").distinct().join(classes.select("key", "first"), "key")
     texts = docs.select(doc_id, text).join(keep(alike.select(F.col("first").alias(doc_id)).distinct(), "alike"), doc_id, "left_semi")
     sets = keep(full_sets(texts, width, text).where("key IS NOT NULL").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
 
     tested = confirm(block_pairs(members), sets, percent)
-    most = 16
-    while True:
-        parts = keep(components(tested.where("linked")), "components")
-        fresh, more = rest_pairs(members, parts, tested, most)
-        if fresh.isEmpty() and not more:
-            break
-        tested = keep(tested.union(confirm(fresh, sets, percent)), "tested")
-        most *= 16
+    parts = keep(components(tested.where("linked")), "components")
+    rest = keep(rest_links(members, parts, sets, percent), "rest-links")
+    if not rest.isEmpty():
+        parts = keep(components(tested.where("linked").select("a", "b").union(rest)), "components")
     whole = classes.select("key", "first").join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
     smallest = whole.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = keep(whole.join(smallest, "component").select("key", "component_id"), "class-ids")
