@@ -7,8 +7,7 @@ is dropped, and the rest goes on. Each round decides at least the earliest row l
 end without a cap.
 
 Only ``(order, keys)`` takes part. Per key there is a minimum, which combines before the shuffle, and
-a join against at most one row per key; the hottest keys are taken out before that join. Rows with
-the same set of keys are first reduced to the earliest one, since the others can never be kept.
+a join against at most one row per key. Rows with the same set of keys are first reduced to the earliest one, since the others can never be kept.
 """
 
 from __future__ import annotations
@@ -23,30 +22,19 @@ from leadloom.functions.ids import candidate_keys
 from leadloom.operators.checkpoints import cut
 
 
-# a key with that many rows is hot; at most so many hot keys are broadcast, in order of their rows
-HOT_HOLDERS = 100_000
-HOT_KEYS = 1_000
-
-
 def _first_holders(edges: DataFrame) -> DataFrame:
     """Keys whose earliest holder is the earliest holder of all of its keys."""
     per_key = edges.groupBy("key").agg(
-        F.min("ord").alias("ord"), F.min_by("keys_held", "ord").alias("keys_held"),
-        F.count(F.lit(1)).alias("holders"))
+        F.min("ord").alias("ord"), F.min_by("keys_held", "ord").alias("keys_held"))
     won = F.count(F.lit(1)).over(Window.partitionBy("ord"))
-    return per_key.withColumn("won", won).filter("won = keys_held").select("key", "ord", "holders")
+    return per_key.withColumn("won", won).filter("won = keys_held").select("key", "ord")
 
 
 def _untouched(edges: DataFrame, taken: DataFrame) -> DataFrame:
     """Rows none of whose keys is taken, again as ``(ord, keys)``.
 
-    The hottest taken keys, a fixed number at most, are dropped where they lie, before the shuffle;
-    the others go through the shuffled join, so nothing depends on that number.
+    Both sides are shuffled as they are read from checkpoints, so a hot key's partition can be split.
     """
-    hot = taken.filter(F.col("holders") >= HOT_HOLDERS)
-    if not hot.isEmpty():
-        hottest = hot.orderBy(F.desc("holders"), "key").limit(HOT_KEYS).select("key")
-        edges = edges.join(F.broadcast(hottest), "key", "left_anti")
     free = edges.join(taken.select("key"), "key", "left_anti")
     return (free.groupBy("ord", "keys_held").agg(F.collect_list("key").alias("keys"))
             .filter(F.size("keys") == F.col("keys_held")).select("ord", "keys"))
@@ -67,8 +55,14 @@ def kept_orders(rows: DataFrame) -> DataFrame:
 
 
 def dedup_by_keys(df: DataFrame, order: str, keys: Column) -> DataFrame:
-    """Rows of ``df`` that survive the ordered dedup; ``order`` names a unique sortable column."""
-    rows = df.select(F.col(order).alias("ord"), F.array_distinct(keys).alias("keys"))
+    """Rows of ``df`` that survive the ordered dedup; ``order`` names a unique sortable column.
+
+    A repeated order is an error: two rows with one order would be taken for one row with the keys of both.
+    """
+    listed = df.select(F.col(order).alias("ord"), F.array_distinct(keys).alias("keys"))
+    repeated = F.raise_error(F.concat(F.lit("dedup: order repeated: "), F.col("ord").cast("string"))).cast(listed.schema["keys"].dataType)
+    rows = (listed.groupBy("ord").agg(F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n"))
+            .select("ord", F.when(F.col("n") > 1, repeated).otherwise(F.col("keys")).alias("keys")))
     kept = kept_orders(rows).withColumnRenamed("ord", order)
     return df.join(kept, order, "left_semi")
 

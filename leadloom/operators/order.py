@@ -1,4 +1,4 @@
-"""Arrival order, dense positions, row limits. No window without a partition anywhere."""
+"""Arrival order, dense positions, row limits. The one window without a partition has a row per task, not per row."""
 
 from __future__ import annotations
 
@@ -35,6 +35,17 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") ->
     return joined.withColumn(name, F.col("offset") + start).drop("_part", "_row", "offset")
 
 
+def file_position(read: DataFrame, name: str) -> DataFrame:
+    """Add dense positions by file name, then place in the file, whatever way Spark packs files into tasks.
+
+    ``read`` comes straight from a file source; its column ``_metadata`` is used.
+    """
+    placed = read.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                         F.monotonically_increasing_id().alias("_line"))
+    order = [F.col("_file"), F.col("_block"), F.col("_line")]
+    return with_position(placed, order, name).drop("_file", "_block", "_line")
+
+
 def first_rows(df: DataFrame, limit: int | None, *order: str) -> DataFrame:
     """The first ``limit`` rows in order (each task keeps its own top), or all rows."""
     return df if limit is None else df.orderBy(*order).limit(limit)

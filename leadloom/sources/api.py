@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leadloom.constants import COUNTRY_LANGUAGE, UNKNOWN
 from leadloom.functions.text import blank, filled, safe_int
 from leadloom.functions.urls import links_in_text, official_website
-from leadloom.operators.order import arrival, first_per_group
+from leadloom.operators.order import arrival, file_position, first_per_group, with_position
 from leadloom.params import Params
 from leadloom.schemas import candidates_from
 
@@ -31,8 +31,7 @@ VIDEO_SCHEMA = """
 
 def read_answers(spark: SparkSession, path: str, schema: str, *, multi_line: bool = False) -> DataFrame:
     """JSON answers, one per line (or one per file), with ``answer_no``, the position in the files."""
-    answers = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    return answers.withColumn("answer_no", F.monotonically_increasing_id())
+    return file_position(spark.read.schema(schema).option("multiLine", multi_line).json(path), "answer_no")
 
 
 def _items(answers: DataFrame, *keep: str) -> DataFrame:
@@ -96,10 +95,10 @@ def channel_candidates(answers: DataFrame, hits: DataFrame, params: Params, prov
         "text": filled(F.col("s.description"), F.col("b.description"), default=""),
         "land": filled(F.col("s.country"), F.col("b.country")),
     }).withColumn("links", links_in_text(F.col("text")))
-    position = F.col("hit_ord.answer_no") * F.lit(64) + F.col("hit_ord.item_no")
+    described = with_position(described, [F.col("hit_ord")], "found_pos")  # any number of items per answer
     published = blank(F.col("published_at"))
     return candidates_from(
-        described, ord=arrival(provider_rank, position), source=F.lit("YOUTUBE"), platform=F.lit("YouTube"),
+        described, ord=arrival(provider_rank, F.col("found_pos")), source=F.lit("YOUTUBE"), platform=F.lit("YouTube"),
         provider_id=F.col("channel_id"), name=filled(F.col("s.title")), username=filled(F.col("s.customUrl")),
         profile_url=F.concat(F.lit("https://www.youtube.com/channel/"), F.col("channel_id")),
         website=official_website(F.col("links")), niche=F.coalesce("query", F.lit(UNKNOWN)),

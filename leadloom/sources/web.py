@@ -9,7 +9,7 @@ from leadloom.constants import WEB_SOCIAL_HOSTS
 from leadloom.functions.html import hrefs, looks_like_html, meta_description, title
 from leadloom.functions.text import blank, filled, strip, title_case
 from leadloom.functions.urls import canonical_url, domain_of_canonical, resolve
-from leadloom.operators.order import arrival, first_rows
+from leadloom.operators.order import arrival, file_position, first_rows
 from leadloom.operators.sites import social_links
 from leadloom.params import Params
 from leadloom.schemas import candidates_from
@@ -21,7 +21,7 @@ def name_from_domain(domain: Column) -> Column:
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """One URL per line; ``pos`` is the position in the files."""
-    lines = spark.read.text(path).withColumn("pos", F.monotonically_increasing_id())
+    lines = file_position(spark.read.text(path), "pos")
     return lines.select(strip(F.col("value")).alias("url"), "pos").filter("url != ''")
 
 
@@ -128,6 +128,8 @@ def first_per_domain(urls: Column) -> Column:
 
 def sitemap_candidates(maps: DataFrame, params: Params, provider_rank: int = 4) -> DataFrame:
     """Candidates from ``maps(pos, xml)``; unreadable maps are skipped."""
+    if params.sitemap_locs > 1024:
+        raise ValueError("at most 1024 locations of a map keep their order")
     located = maps.select("pos", F.transform(sitemap_urls(F.col("xml"), params), canonical_url).alias("urls"))
     firsts = located.select("pos", F.explode(first_per_domain(F.col("urls"))).alias("f")).select("pos", "f.*")
     position = F.col("pos") * F.lit(1024) + F.col("place")

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
@@ -36,16 +38,17 @@ def test_chain_of_conflicts(spark):
     assert spark_kept(spark, rows) == one_by_one(rows) == list(range(0, 17, 2))
 
 
-def test_hot_keys_leave_before_the_join(spark, monkeypatch):
-    from leadloom.operators import dedup
-
+def test_keys_of_unequal_weight(spark):
     rng = random.Random(5)
     rows = [(i, [f"h{rng.randrange(3)}"] * rng.randint(0, 1) + [f"k{rng.randrange(600)}", f"k{rng.randrange(600)}"]) for i in range(900)]
-    monkeypatch.setattr(dedup, "HOT_HOLDERS", 5)
-    monkeypatch.setattr(dedup, "HOT_KEYS", 2)
     assert spark_kept(spark, rows) == one_by_one(rows)
 
 
+def test_repeated_order_is_refused(spark):
+    with pytest.raises(Exception, match="order repeated: 1"):
+        spark_kept(spark, [(0, ["a"]), (1, ["b"]), (1, ["c"])])
+
+
 def test_one_hot_key_and_copies(spark):
     rows = [(i, ["hot", f"own{i}"]) for i in range(3000)] + [(3000 + i, ["copy"]) for i in range(3000)] + [(9000, [])]
     assert spark_kept(spark, rows) == [0, 3000, 9000]

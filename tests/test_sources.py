@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from leadloom import Params
+from leadloom.operators.dedup import dedup_candidates
 from leadloom.sources import api
 from leadloom.sources.registry import union_sources
 from leadloom.sources.web import (
@@ -118,3 +119,36 @@ def test_union_of_sources(spark, tmp_path):
                                             "RSS": lambda s, p: s.read.parquet(str(tmp_path / "none"))}, P)
     assert [r.source for r in found.orderBy("ord").collect()] == ["SEED", "WEB"]
     assert [(r.key, r.error) for r in failures.collect()] == [("provider:RSS", "AnalysisException")]
+
+
+def test_sources_with_equal_positions_keep_their_rows(spark):
+    def numbered(host):
+        return lambda s, p: seed_candidates(s.createDataFrame([(f"https://{host}{i}.org", i) for i in range(2)], "url STRING, pos BIGINT"))
+
+    found, _ = union_sources(spark, {"B": numbered("b"), "A": numbered("a")}, P)
+    kept = dedup_candidates(found)
+    assert [r.provider_id for r in kept.orderBy("ord").collect()] == ["b0.org", "b1.org", "a0.org", "a1.org"]
+
+
+def test_a_source_that_cannot_be_read_is_a_failure(spark, tmp_path):
+    seeds = spark.createDataFrame([("https://a.org", 0)], "url STRING, pos BIGINT")
+    (tmp_path / "broken.parquet").write_bytes(b"PAR1 not a table PAR1")
+    broken = lambda s, p: seed_candidates(s.read.schema("url STRING, pos BIGINT").parquet(str(tmp_path / "broken.parquet")))
+    found, failures = union_sources(spark, {"SEED": lambda s, p: seed_candidates(seeds), "X": broken}, P)
+    assert found.count() == 1 and [r.key for r in failures.collect()] == ["provider:X"]
+
+
+def test_seeds_are_in_file_order(spark, tmp_path):
+    (tmp_path / "part-0").write_text("https://a.org\n")
+    (tmp_path / "part-1").write_text("".join(f"https://b{i}.org\n" for i in range(5)))
+    assert [r.url for r in read_seeds(spark, str(tmp_path)).orderBy("pos").collect()] == ["https://a.org", *[f"https://b{i}.org" for i in range(5)]]
+
+
+def test_answers_with_many_items_keep_their_order(spark, tmp_path):
+    items = lambda a, n: ",".join('{"id": "%s%03d", "snippet": {"title": "t"}}' % (a, i) for i in range(n))
+    (tmp_path / "a.json").write_text('{"items": [%s]}\n{"items": [%s]}\n' % (items("a", 70), items("b", 2)))
+    answers = api.read_answers(spark, str(tmp_path), api.CHANNEL_SCHEMA)
+    hits = api.search_hits(spark.createDataFrame([], api.SEARCH_SCHEMA + ", answer_no BIGINT"))
+    found = api.channel_candidates(answers, hits, P)
+    assert [r.provider_id for r in found.orderBy("ord").collect()] == [f"a{i:03d}" for i in range(70)] + ["b000", "b001"]
+    assert dedup_candidates(found).count() == 72
