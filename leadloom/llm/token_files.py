@@ -9,9 +9,11 @@ end id. Further columns are not read. An empty table gives empty tables.
 
 from __future__ import annotations
 
-import re
+import json
+import string
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,52 +22,91 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm import rans
-from leadloom.llm.bpe import Cached
 from leadloom.llm.common import checkpoint_dir, id_type, keep, map_texts, ship
 
 BLOCK_TOKENS = 1 << 18
-#: white space outside the bytes 9 to 13 and 32, at which ``str.split`` would cut as well
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]").search
-SPACES = re.compile("[ \t-\r]+").split
+PUNCTUATION = string.punctuation.encode()
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: the character that stands for each byte in byte-level vocabularies: itself if visible, else the next from 256 on
+BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 BLOCK = ("part int, block int, first_token long, n_tokens long, doc_ids array<{id}>, doc_tokens array<int>, lanes int, "
          "states binary, words binary, mark_words array<long>, mark_states binary, crc32 long")
 
 
-def words_of(text: str) -> list[str]:
-    """Parts between white space, which the tokenizer drops and never crosses."""
-    return [w for w in SPACES(text) if w] if ODD_SPACE(text) else text.split()
+class WordIds(dict):
+    """``word -> ids`` (little-endian unsigned 32-bit) by the library, for tokenizers that drop white space and never cross it.
+
+    ASCII capitals are lower-cased before the look-up, as the tokenizer does; not in texts with combining marks (a capital
+    may compose otherwise) or with the letters of a special string. Punctuation behind a letter or digit is a token of its
+    own and looked up by itself. Words of lower-case Latin letters, which normalisation leaves alone, go straight to the
+    library's model; all others go through its whole encoder.
+    """
+
+    MOST, LONGEST = 400_000, 48  # words kept; longer ones are forgotten after their slice
+
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        told = json.loads(self.tokenizer.to_str())
+        parts = [[x["type"] for x in told[k][v]] for k, v in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if parts != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]:
+            raise ValueError(f"not a tokenizer of lower-cased words: {parts}")
+        self.special = [x["content"].lower().encode() for x in told["added_tokens"]]
+        self.model = self.tokenizer.model
+
+    def words(self, text: bytes) -> list[bytes]:
+        low = text.lower()
+        if b"\xcc" in text or b"\xcd" in text or any(s in low for s in self.special):
+            low = text
+        return low.split()
+
+    def core(self, word: bytes) -> bytes:
+        """``word`` without punctuation at its end, if that follows an ASCII letter or digit."""
+        core = word.rstrip(PUNCTUATION)
+        return core if core[-1:].isalnum() and not any(s in word.lower() for s in self.special) else word
+
+    def direct(self, word: bytes) -> bool:
+        if word.isascii():
+            return word.isalpha() and word.islower()
+        text = word.decode("utf-8")
+        return max(text) < "\u0250" and text.isalpha() and text == text.lower()
+
+    def encoded(self, words: set[bytes]) -> None:
+        """Add ``words`` to the table."""
+        rest = []
+        for w in words:
+            if self.direct(w):
+                self[w] = array("I", [t.id for t in self.model.tokenize(w.decode("latin-1").translate(BYTE_CHARS))]).tobytes()
+            else:
+                rest.append(w)
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in rest], add_special_tokens=False)
+        self.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found))
+
+    def of_texts(self, texts: list[bytes]) -> list[bytes]:
+        split = [self.words(t) for t in texts]
+        different = set().union(*split)
+        if len(self) > self.MOST:
+            self.clear()
+        fresh = different.difference(self)
+        cores = {w: self.core(w) for w in fresh}
+        ends = {w: w[len(c):] for w, c in cores.items() if len(c) < len(w)}
+        self.encoded({*cores.values(), *ends.values()}.difference(self))
+        self.update((w, self[cores[w]] + self[end]) for w, end in ends.items())
+        ids = [b"".join(map(self.__getitem__, words)) for words in split]
+        for w in {*fresh, *cores.values(), *ends.values()}:
+            if len(w) > self.LONGEST:
+                self.pop(w, None)
+        return ids
 
 
 def encode_ids(docs: DataFrame, tokenizer_file: str, end_id: int, doc_id: str, text: str) -> DataFrame:
     """``doc_id, ids``: ids as little-endian unsigned 32-bit integers, with the end id."""
     def make():
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
-        known = Cached(None)
-        end = np.uint32(end_id).tobytes()
-
-        def learn(words):
-            fresh = list({w for w in words if w not in known})
-            found = tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            return {w: np.array(e.ids, dtype=np.uint32).tobytes() for w, e in zip(fresh, found)}
-
-        def step(rows, texts):
-            split = [words_of(t.decode("utf-8")) for t in texts]
-            fresh = learn([w for words in split for w in words])
-            if len(known) + len(fresh) > 400_000:
-                known.clear()
-                fresh = learn([w for words in split for w in words])
-            known.update(fresh)
-            ids = [b"".join([known[w] for w in words]) + end for words in split]
-            for w in fresh:
-                if len(w) > 48:
-                    del known[w]
-            return [rows.column(0), ids]
-
-        return step
+        known, end = WordIds(tokenizer_file), np.uint32(end_id).tobytes()
+        return lambda rows, texts: [rows.column(0), [ids + end for ids in known.of_texts(texts)]]
 
     return map_texts(docs.select(F.col(doc_id), F.col(text)), text, make, f"`{doc_id}` {id_type(docs, doc_id)}, ids binary")
 

@@ -250,3 +250,16 @@ def test_empty_tables_and_null_ids(spark, name):
     made = [(None, None), (None, text), (7, text), (7, text), (7, None), (8, "")]
     found = run(frame(spark, made)).collect()
     assert Counter(r["doc_id"] for r in found) == Counter(d for d, _ in made)
+
+
+def test_word_ids_of_odd_texts():
+    """The word table gives what the library gives: marks, capitals that compose otherwise, special strings, punctuation."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    parts = [*"abJjHhTt'.,;#<>|!09 \n", "̌", "̱", "́", "ͅ", "É", "é", "ß", "İ", "ı", "ǰ",
+             " ", "\x1c", "K", "Σ", "中", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    chosen = np.random.default_rng(5).integers(0, len(parts), (3000, 24))
+    texts = ["", "word, WORD. word", *("".join(parts[k] for k in row) for row in chosen)]
+    expected = [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert token_files.WordIds(WORDS).of_texts([t.encode() for t in texts]) == expected
