@@ -110,7 +110,7 @@ def oracle() -> str:
     return rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 tri AS (
   SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d),
@@ -119,7 +119,7 @@ rep AS (
 cov AS (
   SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM rep, (VALUES (0), (1), (2)) AS o(k) WHERE c > 1 GROUP BY doc_id),
 st AS MATERIALIZED (
-  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
          len(list_distinct(w))::BIGINT AS n_distinct, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadloom.llm import decontaminate as dc
-from leadloom.llm import class_model, near_dedup, piece_codec, quality_model, quality_rules, substring_dedup, token_counts, token_files, toxic_spans
+from leadloom.llm import class_model, near_dedup, near_vectors, piece_codec, quality_model, quality_rules, ranked_search, substring_dedup
+from leadloom.llm import token_alignment, token_counts, token_files, toxic_spans
 from leadloom.llm.common import table
 
 
@@ -65,6 +66,19 @@ def op10_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_near_vectors(spark, sf_dir):
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.alignment_scores(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_token_files, op4_quality_classifier, op5_class_model,
-                                   op6_decontamination, op7_sentencepiece, op8_near_dedup, op9_toxicity, op10_substring_dedup)}
-ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.oracle()}
+                                   op6_decontamination, op7_sentencepiece, op8_near_dedup, op9_toxicity, op10_substring_dedup,
+                                   op11_near_vectors, op12_token_alignment, op13_ranked_search)}
+ORACLES: dict[str, str] = {"op1_quality_rules": quality_rules.oracle(), "op13_ranked_search": ranked_search.oracle()}
