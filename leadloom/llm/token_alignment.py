@@ -19,6 +19,7 @@ import json
 import math
 import os
 import re
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -31,7 +32,7 @@ from leadloom.llm.common import id_type, keep, map_texts
 
 words_of = re.compile(r"(?<=\S) (?=\S)").split
 BATCH_BYTES, PART_WORDS = 1 << 20, 1 << 15
-CACHED_WORDS, CACHED_LENGTH, FREQUENT = 200_000, 40, 1 << 17
+CACHED_WORDS, CACHED_LENGTH, FREQUENT = 400_000, 40, 1 << 17
 STEPS = 8  # of the histogram, for each doubling of a count
 
 
@@ -81,26 +82,35 @@ class Sides:
             found.append([packed[x:y] for x, y in zip(cuts, cuts[1:])])
         return [None if k in lost else x for k, x in enumerate(zip(*found))]
 
-    def ids(self, text: str) -> list[tuple] | None:
-        """The ids of a text word by word; None if it has no tokens."""
-        words = words_of(text)
+    def ids(self, texts: list[str]) -> list[list[tuple] | None]:
+        """The ids of each text word by word; None if it has no tokens."""
+        split = [words_of(t) if t else [] for t in texts]
+        every = set(chain.from_iterable(split))
         cache, own = self.cache, {}
-        fresh = [w for w in set(words) if w not in cache]
+        fresh = [w for w in every if w not in cache]
         for k in range(0, len(fresh), 4096):
             part = fresh[k:k + 4096]
             own.update(zip(part, self.encoded(part)))
-        if own:
-            if len(cache) + len(own) > CACHED_WORDS:
-                own.update((w, cache[w]) for w in set(words) if w in cache)
-                cache.clear()
-            cache.update((w, x) for w, x in own.items() if len(w) <= CACHED_LENGTH)
-        found = [cache[w] if w in cache else own[w] for w in words]
-        if None in found:  # a word's bytes are lost; the rule is about the whole text
-            whole = self.encoded([text])[0]
-            return whole and [whole]
+        if len(cache) + len(own) > CACHED_WORDS:
+            own.update((w, cache[w]) for w in every if w in cache)
+            cache.clear()
+        cache.update((w, x) for w, x in own.items() if len(w) <= CACHED_LENGTH)
+        found = []
+        for text, words in zip(texts, split):
+            ids = [cache[w] if w in cache else own[w] for w in words]
+            if None in ids:  # a word's bytes are lost; the rule is about the whole text
+                whole = self.encoded([text])[0]
+                ids = whole and [whole]
+            found.append(ids or None)
         return found
 
 
+@lru_cache(maxsize=1)
+def both_sides(byte_file: str, piece_file: str) -> Sides:
+    """Loaded once in a worker: tasks that follow find its cache of words."""
+    return Sides(byte_file, piece_file)
+
+
 def align(sides: Sides, parts: list[list[tuple]]) -> list[tuple]:
     """Parts of documents, each the ids of its words: ``tokens, tokens, overlaps, links, groups as text, pairs, times`` of each."""
     a = [b"".join([x for x, _ in p]) for p in parts]
@@ -164,7 +174,7 @@ class Aligned:
 def alignments(docs: DataFrame, byte_file: str, piece_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``row, doc_id, n_a, n_b, n_overlaps, n_links, groups_sha256, pairs, times``; a pair is ``a id * size of b's ids + b id``."""
     def make():
-        sides = Sides(byte_file, piece_file)
+        sides = both_sides(byte_file, piece_file)
         wide = np.int32 if len(sides.bytes_a) * len(sides.bytes_b) < 1 << 31 else np.int64
 
         def step(rows, texts):
@@ -177,8 +187,7 @@ def alignments(docs: DataFrame, byte_file: str, piece_file: str, doc_id: str = "
                     owner.add(part)
                 parts, owners, held = [], [], 0
 
-            for owner, t in zip(done, texts):
-                words = sides.ids(t.decode("utf-8", "surrogatepass")) if t else None
+            for owner, t, words in zip(done, texts, sides.ids([t.decode("utf-8", "surrogatepass") for t in texts])):
                 for k in range(0, len(words or ()), PART_WORDS):
                     parts.append(words[k:k + PART_WORDS])
                     owners.append(owner)

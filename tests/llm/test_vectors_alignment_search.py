@@ -140,7 +140,7 @@ def test_alignment(spark, monkeypatch, most):
 def test_overlaps():
     sides = token_alignment.Sides(BYTES, PIECES)
     text = "unbelievable internationalisation of 12345"
-    words = sides.ids(text)
+    words = sides.ids([text])[0]
     ranges = []
     for side, size in ((0, sides.size_a), (1, sides.size_b)):
         ids = np.concatenate([np.frombuffer(w[side], np.int32) for w in words])
