@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from leadloom.llm.common import fold_of, id_type, map_texts
 
 CHAIN, HASHED = 64, 1 << 16
-#: of labelled documents: at most so many of each kind, none longer than so many bytes, are used to learn
+#: defaults of ``sample`` and ``sample_bytes``
 SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 50_000
 EDGES = re.compile(rb"^[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+$").sub
 
@@ -204,22 +204,45 @@ def calibrate(field: Field, largest: np.ndarray, y: np.ndarray) -> None:
     field.slope, field.offset = float(w[0]), float(w[1])
 
 
-def training_docs(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, sample: int) -> list[tuple[list[bytes], int]]:
+def part_of(text: bytes, most: int) -> bytes:
+    """``text`` if it has at most ``most`` bytes, else some of its chains of ``CHAIN`` words, chosen by hash from all of it."""
+    if len(text) <= most:
+        return text
+    words = text.split()
+    pieces = [b" ".join(words[k:k + CHAIN]) for k in range(0, len(words), CHAIN)]
+    taken, room = [], most
+    for k in sorted(range(len(pieces)), key=lambda k: (zlib.crc32(pieces[k]), k)):
+        if len(pieces[k]) <= room:
+            taken.append(k)
+            room -= len(pieces[k]) + 1
+    return b" ".join(pieces[k] for k in sorted(taken))
+
+
+def training_docs(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, sample: int,
+                  sample_bytes: int) -> list[tuple[list[bytes], int]]:
+    """Labelled texts to learn from. The ids are picked from the labels alone; then one pass over the texts finds theirs."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("y"))
-    short = docs.where(F.octet_length(text) <= SAMPLE_BYTES).select(doc_id, F.col(text).alias("body"))
-    found = []
-    for y in (1, 0):
-        own = short.join(known.where(F.col("y") == y), doc_id)
-        rows = own.orderBy(F.xxhash64(doc_id), doc_id).limit(sample).select("body").collect()
-        found.extend((w.encode("utf-8").lower().split(), y) for w in sorted({r["body"] for r in rows}))
-    return found
+    picked = [known.where(F.col("y") == y).orderBy(F.xxhash64(doc_id), doc_id).limit(sample) for y in (1, 0)]
+    chosen = F.broadcast(picked[0].union(picked[1]))  # ``sample`` rows of each kind at most
+
+    def make():
+        return lambda rows, texts: [rows.column(0), rows.column(1), [part_of(t, sample_bytes) for t in texts]]
+
+    named = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body")).join(chosen.select(F.col(doc_id).alias("id"), "y"), "id").select("id", "y", "body")
+    parts = map_texts(named, "body", make, f"id {id_type(docs, doc_id)}, y {known.schema['y'].dataType.simpleString()}, part binary")
+    rows = parts.groupBy("id").agg(F.max("y").alias("y"), F.min("part").alias("part")).collect()  # one text of an id
+    return [(p.lower().split(), y) for y in (1, 0) for p in sorted({bytes(r["part"]) for r in rows if r["y"] == y})]
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
-                 sample: int = SAMPLE_DOCS) -> DataFrame:
-    """``doc_id, held_out, score, spans``; spans are ``(first word, words)`` of tokens that are likelier toxic than not."""
+                 sample: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """``doc_id, held_out, score, spans``; spans are ``(first word, words)`` of tokens that are likelier toxic than not.
+
+    The field learns from the documents of ``sample`` labels of each kind, picked by the hash of the id, and at most
+    ``sample_bytes`` of each: of a longer text some of its chains, picked by hash. All texts are scored as a whole.
+    """
     learn = labels.where(fold_of(doc_id) != 0)
-    field = fit(training_docs(docs, learn, label, doc_id, text, sample))
+    field = fit(training_docs(docs, learn, label, doc_id, text, sample, sample_bytes))
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def make():
