@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-BITS, LOW, LANES, CHECKPOINT = 20, 1 << 31, 512, 128
+BITS, LOW, LANES, CHECKPOINT = 20, 1 << 31, 4096, 64
 _U = np.uint64
 
 

@@ -14,6 +14,7 @@ import string
 import uuid
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from leadloom.llm import rans
 from leadloom.llm.common import checkpoint_dir, id_type, keep, map_texts, ship
 
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 PUNCTUATION = string.punctuation.encode()
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: the character that stands for each byte in byte-level vocabularies: itself if visible, else the next from 256 on
@@ -34,7 +35,7 @@ BLOCK = ("part int, block int, first_token long, n_tokens long, doc_ids array<{i
 
 
 class WordIds(dict):
-    """``word -> ids`` (little-endian unsigned 32-bit) by the library, for tokenizers that drop white space and never cross it.
+    """``word -> ids`` (little-endian, of ``dtype``) by the library, for tokenizers that drop white space and never cross it.
 
     ASCII capitals are lower-cased before the look-up, as the tokenizer does; not in texts with combining marks (a capital
     may compose otherwise) or with the letters of a special string. Punctuation behind a letter or digit is a token of its
@@ -42,7 +43,7 @@ class WordIds(dict):
     library's model; all others go through its whole encoder.
     """
 
-    MOST, LONGEST = 400_000, 48  # words kept; longer ones are forgotten after their slice
+    MOST, LONGEST = 600_000, 48  # words kept; longer ones are not
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
@@ -55,7 +56,14 @@ class WordIds(dict):
         if parts != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]:
             raise ValueError(f"not a tokenizer of lower-cased words: {parts}")
         self.special = [x["content"].lower().encode() for x in told["added_tokens"]]
-        self.model = self.tokenizer.model
+        #: bytes that every special string has: words without one are not looked through
+        self.mark = bytes([min(set.intersection(*map(set, self.special)))]) if self.special else b"\x00"
+        self.model, self.size = self.tokenizer.model, self.tokenizer.get_vocab_size()
+        self.code = "H" if self.size <= 1 << 16 else "I"
+
+    @property
+    def dtype(self) -> np.dtype:
+        return np.dtype("<u2" if self.code == "H" else "<u4")
 
     def words(self, text: bytes) -> list[bytes]:
         low = text.lower()
@@ -63,70 +71,67 @@ class WordIds(dict):
             low = text
         return low.split()
 
-    def core(self, word: bytes) -> bytes:
-        """``word`` without punctuation at its end, if that follows an ASCII letter or digit."""
+    def __missing__(self, word: bytes) -> bytes:
         core = word.rstrip(PUNCTUATION)
-        return core if core[-1:].isalnum() and not any(s in word.lower() for s in self.special) else word
+        if len(core) < len(word) and core[-1:].isalnum() and not (self.mark in word and any(s in word.lower() for s in self.special)):
+            ids = self[core] + self[word[len(core):]]
+        elif word.isalpha() and word.islower():
+            ids = array(self.code, [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+        else:
+            ids = self.encoded(word)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = ids
+        return ids
 
-    def direct(self, word: bytes) -> bool:
-        if word.isascii():
-            return word.isalpha() and word.islower()
+    def encoded(self, word: bytes) -> bytes:
         text = word.decode("utf-8")
-        return max(text) < "\u0250" and text.isalpha() and text == text.lower()
-
-    def encoded(self, words: set[bytes]) -> None:
-        """Add ``words`` to the table."""
-        rest = []
-        for w in words:
-            if self.direct(w):
-                self[w] = array("I", [t.id for t in self.model.tokenize(w.decode("latin-1").translate(BYTE_CHARS))]).tobytes()
-            else:
-                rest.append(w)
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in rest], add_special_tokens=False)
-        self.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found))
+        if not word.isascii() and max(text) < "\u0250" and text.isalpha() and text == text.lower():
+            found = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(BYTE_CHARS))]
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array(self.code, found).tobytes()
 
     def of_texts(self, texts: list[bytes]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        different = set().union(*split)
-        if len(self) > self.MOST:
-            self.clear()
-        fresh = different.difference(self)
-        cores = {w: self.core(w) for w in fresh}
-        ends = {w: w[len(c):] for w, c in cores.items() if len(c) < len(w)}
-        self.encoded({*cores.values(), *ends.values()}.difference(self))
-        self.update((w, self[cores[w]] + self[end]) for w, end in ends.items())
-        ids = [b"".join(map(self.__getitem__, words)) for words in split]
-        for w in {*fresh, *cores.values(), *ends.values()}:
-            if len(w) > self.LONGEST:
-                self.pop(w, None)
-        return ids
+        return [b"".join(map(self.__getitem__, self.words(t))) for t in texts]
+
+
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_file: str) -> WordIds:
+    """Loaded once in a worker: tasks that follow find its words."""
+    return WordIds(tokenizer_file)
 
 
 def encode_ids(docs: DataFrame, tokenizer_file: str, end_id: int, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, ids``: ids as little-endian unsigned 32-bit integers, with the end id."""
+    """``doc_id, ids, counts``: ids with the end id; a last row of each task has how often it met each id instead."""
     def make():
-        known, end = WordIds(tokenizer_file), np.uint32(end_id).tobytes()
-        return lambda rows, texts: [rows.column(0), [ids + end for ids in known.of_texts(texts)]]
+        known = word_ids(tokenizer_file)
+        end, dtype = np.array([end_id], known.dtype).tobytes(), known.dtype
+        total = np.zeros(max(known.size, end_id + 1), dtype=np.int64)
+
+        def step(rows, texts):
+            ids = [x + end for x in known.of_texts(texts)]
+            total[:] += np.bincount(np.frombuffer(b"".join(ids), dtype), minlength=len(total))
+            return [rows.column(0), ids, [None] * len(ids)]
+
+        step.finish = lambda: [[None], [None], [total.tobytes()]]
+        return step
 
-    return map_texts(docs.select(F.col(doc_id), F.col(text)), text, make, f"`{doc_id}` {id_type(docs, doc_id)}, ids binary")
+    return map_texts(docs.select(F.col(doc_id), F.col(text)), text, make, f"`{doc_id}` {id_type(docs, doc_id)}, ids binary, counts binary")
 
 
 def token_counts(encoded: DataFrame) -> DataFrame:
-    """``id, n`` over all documents; each task sums its own before the shuffle."""
+    """``id, n`` over all documents, from the counts of the tasks."""
     def run(batches):
-        total = np.zeros(1, dtype=np.int64)
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(ids, np.uint32))
-                if len(own) > len(total):
-                    own[:len(total)] += total
-                    total = own
-                else:
-                    total[:len(own)] += own
+            for own in batch.column(0).to_pylist():
+                total = np.frombuffer(own, np.int64) + (total if len(total) else 0)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.where("counts IS NOT NULL").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def load_tables(rows: list, size: int) -> rans.Tables:
@@ -136,12 +141,12 @@ def load_tables(rows: list, size: int) -> rans.Tables:
     return rans.Tables(freq)
 
 
-def pack(tokens: list[bytes], ids: list, part: int, number: int, first: int, tables: rans.Tables) -> list:
-    joined = np.frombuffer(b"".join(tokens), np.uint32)
+def pack(tokens: list[bytes], dtype: np.dtype, ids: list, part: int, number: int, first: int, tables: rans.Tables) -> list:
+    joined = np.frombuffer(b"".join(tokens), dtype)
     coded = rans.encode(joined, tables)
     states, words = coded["states"].tobytes(), coded["words"].tobytes()
     marks = b"".join(s.tobytes() for _, s in coded["marks"])
-    return [part, number, first, len(joined), ids, [len(t) // 4 for t in tokens], coded["lanes"], states, words,
+    return [part, number, first, len(joined), ids, [len(t) // dtype.itemsize for t in tokens], coded["lanes"], states, words,
             [int(w) for w, _ in coded["marks"]], marks, zlib.crc32(words, zlib.crc32(states))]
 
 
@@ -165,6 +170,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int = 1, pat
     path = path or f"{checkpoint_dir(spark)}/llm/token-files-{uuid.uuid4().hex}"
     kind = id_type(docs, doc_id)
     encoded = keep(encode_ids(docs, tokenizer_file, end_id, doc_id, text), "token-ids")
+    dtype = word_ids(tokenizer_file).dtype
     # one row for each id of the vocabulary at most
     counted = token_counts(encoded).toPandas().sort_values("id")
     freq = rans.frequencies(np.bincount(counted["id"], weights=counted["n"], minlength=end_id + 1).astype(np.int64))
@@ -178,14 +184,14 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int = 1, pat
         ids, tokens, waiting, first, number = [], [], 0, 0, 0
 
         def emit():
-            row = pack(tokens, ids, part, number, first, tables)
+            row = pack(tokens, dtype, ids, part, number, first, tables)
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
 
         for batch in batches:
             for key, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(key)
                 tokens.append(own)
-                waiting += len(own) // 4
+                waiting += len(own) // dtype.itemsize
                 if waiting >= BLOCK_TOKENS:
                     yield emit()
                     ids, tokens, first, number, waiting = [], [], first + waiting, number + 1, 0
@@ -193,7 +199,7 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, end_id: int = 1, pat
             yield emit()
 
     place = F.monotonically_increasing_id()  # equal ids stay in input order, and a repeated one can be split
-    ordered = (encoded.withColumn("place", place).repartitionByRange(F.col(doc_id), F.col("place"))
+    ordered = (encoded.where("ids IS NOT NULL").withColumn("place", place).repartitionByRange(F.col(doc_id), F.col("place"))
                .sortWithinPartitions(doc_id, "place").select(doc_id, "ids"))
     ordered.mapInArrow(run, schema).write.parquet(f"{path}/blocks")
     sums = spark.read.parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
