@@ -26,11 +26,13 @@ class PrefixTables:
     def __init__(self, model_file: str):
         self.library = library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.piece, self.ids, self.score, self.bytes = {}, {}, {}, {}
+        self.byte_of: dict[int, int] = {}
         self.matches = ahocorasick.Automaton()
         for i in range(library.vocab_size()):
             piece = library.id_to_piece(i)
             if library.is_byte(i):
                 self.bytes[int(piece[3:5], 16)] = i
+                self.byte_of[i] = int(piece[3:5], 16)
             elif not (library.is_control(i) or library.is_unknown(i) or library.is_unused(i)):
                 if "\n" in piece or SPACE in piece.lstrip(SPACE):
                     raise ValueError(f"pieces that cross a word's border are not supported: {piece!r}")
@@ -42,6 +44,11 @@ class PrefixTables:
         self.tied = {p for p, s in self.score.items() if scores[0] == s} if scores[0] == scores[1] else set()
         self.fits: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
+        #: longest piece of spaces alone: merging a run from its left makes as many of it as there is room for
+        self.wide = max((len(p) for p in self.ids if not p.strip(SPACE)), default=1)
+        self.few = [self.plain(SPACE * k) for k in range(3 * self.wide + 1)]
+        if any(self.few[k + self.wide] != [self.ids[SPACE * self.wide], *self.few[k]] for k in range(2 * self.wide + 1)):
+            raise ValueError("runs of spaces are not merged from their left")
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: always the best-scored neighbours, the first of equals."""
@@ -111,10 +118,17 @@ class PrefixTables:
             ids.extend([self.ids[part]] if part in self.ids else [self.bytes[b] for b in part.encode()])
         return ids
 
+    def run_ids(self, spaces: int) -> list[int]:
+        """The ids of a run of spaces."""
+        return [self.ids[SPACE * self.wide]] * (spaces // self.wide) + self.few[spaces % self.wide]
+
+    def run_count(self, spaces: int) -> int:
+        return spaces // self.wide + len(self.few[spaces % self.wide])
+
     def chunk_ids(self, chunk: str) -> tuple[int, ...]:
         if self.tied and SPACE * 2 in chunk:
             spaces = len(chunk) - len(chunk.lstrip(SPACE))
-            return self.plain(chunk[:spaces]) if spaces == len(chunk) else self.spaced(chunk, spaces)
+            return tuple(self.run_ids(spaces)) if spaces == len(chunk) else self.spaced(chunk, spaces)
         last, begin, _ = self.table(chunk)
         ids, at = [], len(chunk)
         while at:
@@ -130,14 +144,45 @@ class PrefixTables:
         word = self.chunk_ids(chunk[spaces - 1:])
         first = self.piece.get(word[0], "")
         if first.startswith(SPACE) and first != SPACE:
-            return (*self.plain(chunk[:spaces - 1]), *word)
-        return (*self.plain(chunk[:spaces]), *word[1:])
+            return (*self.run_ids(spaces - 1), *word)
+        return (*self.run_ids(spaces), *word[1:])
 
     def counts(self, chunk: str) -> list[int]:
         """Count of tokens of each prefix of ``chunk``, from one character on."""
-        if self.tied and SPACE * 2 in chunk:
-            return [len(self.chunk_ids(chunk[:k])) for k in range(1, len(chunk) + 1)]
-        return self.table(chunk)[2][1:]
+        if not (self.tied and SPACE * 2 in chunk):
+            return self.table(chunk)[2][1:]
+        spaces = len(chunk) - len(chunk.lstrip(SPACE))
+        found = [self.run_count(k) for k in range(1, spaces + 1)]
+        if spaces < len(chunk):
+            last, begin, count = self.table(chunk[spaces - 1:])
+            joins = [False] * len(last)  # whether the first token of a prefix holds the space and more
+            for end in range(1, len(last)):
+                joins[end] = joins[begin[end]] if begin[end] else last[end] >= 0 and self.piece[last[end]] != SPACE
+            with_it, alone = self.run_count(spaces - 1), self.run_count(spaces) - 1
+            found.extend(count[end] + (with_it if joins[end] else alone) for end in range(2, len(last)))
+        return found
+
+    def total(self, chunk: str) -> int:
+        """Count of tokens of the whole chunk: that of its last prefix."""
+        if not (self.tied and SPACE * 2 in chunk):
+            return self.table(chunk)[2][-1]
+        spaces = len(chunk) - len(chunk.lstrip(SPACE))
+        if spaces == len(chunk):
+            return self.run_count(spaces)
+        return self.counts(chunk)[-1]
+
+    def coded(self, chunk: str) -> tuple[int, bytes, bytes]:
+        """How many ids a chunk has, the ids as text, and the text that they decode to."""
+        ids = self.chunk_ids(chunk)
+        return len(ids), ",".join(map(str, ids)).encode(), self.decoded(ids)
+
+    def decoded(self, ids) -> bytes:
+        """The text of the ids of a chunk, a space for each space."""
+        parts = []
+        for i in ids:
+            piece = self.piece.get(i)
+            parts.append(bytes([self.byte_of[i]]) if piece is None else piece.replace(SPACE, " ").encode())
+        return b"".join(parts)
 
 
 def chunks_of(text: str) -> list[str]:
@@ -150,6 +195,12 @@ def tables(model_file: str) -> PrefixTables:
     return PrefixTables(model_file)
 
 
+@lru_cache(maxsize=4)
+def cached(model_file: str, what: str, most: int) -> "Cached":
+    """The values of a method of the tables by chunk, known to all tasks of a worker."""
+    return Cached(getattr(tables(model_file), what), most)
+
+
 class Cached(dict):
     """``chunk -> value``; short chunks are stored, and all are forgotten beyond a fixed number."""
 

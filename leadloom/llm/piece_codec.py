@@ -13,14 +13,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.bpe import Cached, chunks_of, tables
+from leadloom.llm.bpe import CACHED_CHUNKS, cached, chunks_of
 from leadloom.llm.common import id_type, map_texts
 
 
 def encode_pieces(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids``: the ids of every whole text."""
     def make():
-        known = Cached(tables(model_file).chunk_ids)
+        known = cached(model_file, "chunk_ids", CACHED_CHUNKS)
 
         def step(rows, texts):
             return [rows.column(0), [list(chain.from_iterable([known[c] for c in chunks_of(t.decode("utf-8"))])) for t in texts]]
@@ -44,24 +44,20 @@ def decode_pieces(encoded: DataFrame, model_file: str, doc_id: str = "doc_id", i
 
 
 def piece_digests(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and decode in one pass: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    def make():
-        table = tables(model_file)
-
-        def both(chunk):
-            ids = table.chunk_ids(chunk)
-            return ids, ",".join(map(str, ids)).encode()
+    """Encode and decode in one pass: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
-        known, decode, sha = Cached(both), table.library.decode, hashlib.sha256
+    Ids are decoded chunk by chunk, a repeated chunk once; the text is what they join to.
+    """
+    def make():
+        known, sha = cached(model_file, "coded", CACHED_CHUNKS), hashlib.sha256
 
         def step(rows, texts):
             n_tokens, ids_sha, text_sha = [], [], []
             for raw in texts:
                 found = [known[c] for c in chunks_of(raw.decode("utf-8"))]
-                ids = list(chain.from_iterable([f[0] for f in found]))
-                n_tokens.append(len(ids))
+                n_tokens.append(sum([f[0] for f in found]))
                 ids_sha.append(sha(b",".join([f[1] for f in found])).hexdigest())
-                text_sha.append(sha(decode(ids).encode("utf-8")).hexdigest() if ids else sha(b"").hexdigest())
+                text_sha.append(sha(b"".join([f[2] for f in found])[1:]).hexdigest())  # without the space put before it
             return [rows.column(0), n_tokens, ids_sha, text_sha]
 
         return step
