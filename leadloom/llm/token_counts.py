@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.bpe import CACHED_CHUNKS, Cached, chunks_of, tables
+from leadloom.llm.bpe import CACHED_CHUNKS, Cached, cached, chunks_of, tables
 from leadloom.llm.common import id_type, map_texts
 
 
@@ -19,7 +19,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, doc_id: st
     """``doc_id, n_bytes, n_tokens, over_limit, fits_chars``: the last is the longest prefix of at most ``limit`` tokens."""
     def make():
         table = tables(model_file)
-        totals = Cached(lambda chunk: len(table.chunk_ids(chunk)), 2 * CACHED_CHUNKS)
+        totals = cached(model_file, "total", 2 * CACHED_CHUNKS)
 
         def fitting(chunks, counts, n_chars):
             room, chars = limit, -1  # the space before a text is not one of its characters
