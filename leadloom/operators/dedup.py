@@ -20,6 +20,7 @@ from pyspark.sql import Window
 
 from leadloom.functions.ids import candidate_keys
 from leadloom.operators.checkpoints import cut
+from leadloom.operators.counters import Counters
 
 
 def _first_holders(edges: DataFrame) -> DataFrame:
@@ -54,12 +55,15 @@ def kept_orders(rows: DataFrame) -> DataFrame:
     return kept
 
 
-def dedup_by_keys(df: DataFrame, order: str, keys: Column) -> DataFrame:
+def dedup_by_keys(df: DataFrame, order: str, keys: Column, counters: Counters | None = None) -> DataFrame:
     """Rows of ``df`` that survive the ordered dedup; ``order`` names a unique sortable column.
 
-    A repeated order is an error: two rows with one order would be taken for one row with the keys of both.
+    A repeated order is an error: two rows with one order would be taken for one row with the keys of both. ``counters``
+    are taken of the rows of ``df``.
     """
     listed = df.select(F.col(order).alias("ord"), F.array_distinct(keys).alias("keys"))
+    if counters is not None:
+        listed = counters.of(listed)
     repeated = F.raise_error(F.concat(F.lit("dedup: order repeated: "), F.col("ord").cast("string"))).cast(listed.schema["keys"].dataType)
     rows = (listed.groupBy("ord").agg(F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n"))
             .select("ord", F.when(F.col("n") > 1, repeated).otherwise(F.col("keys")).alias("keys")))
@@ -68,10 +72,10 @@ def dedup_by_keys(df: DataFrame, order: str, keys: Column) -> DataFrame:
 
 
 def dedup_candidates(candidates: DataFrame, *, provider: bool = True, domain: bool = True,
-                     profile: bool = True) -> DataFrame:
+                     profile: bool = True, counters: Counters | None = None) -> DataFrame:
     """Ordered dedup of candidates by provider id, website domain and profile address."""
     keys = candidate_keys(provider=provider, domain=domain, profile=profile)
-    return dedup_by_keys(candidates, "ord", keys)
+    return dedup_by_keys(candidates, "ord", keys, counters)
 
 
 def dedup_counts(before: DataFrame, after: DataFrame) -> DataFrame:
