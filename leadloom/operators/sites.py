@@ -46,18 +46,29 @@ def social_links(links: Column, hosts=SITE_SOCIAL_HOSTS) -> Column:
     return F.array_distinct(F.filter(links, lambda u: host_contains(u, hosts)))
 
 
-def parse_site_pages(pages: DataFrame, params: Params) -> DataFrame:
-    """One narrow row per page a visit could reach, from ``pages(page_id, url, html, content_type)``.
+def place_pages(pages: DataFrame) -> DataFrame:
+    """Add ``page``, the canonical address, and ``domain`` to ``pages(page_id, url, html, content_type)``; no text is read."""
+    keyed = pages.withColumn("page", canonical_url(F.col("url")))
+    return keyed.withColumn("domain", domain_of_canonical(F.col("page"))).filter("domain != ''")
+
+
+def parse_site_pages(pages: DataFrame, params: Params, sites: DataFrame | None = None) -> DataFrame:
+    """One narrow row per page a visit could reach, from pages as in :func:`place_pages`, of the domains in ``sites`` only."""
+    return parse_placed_pages(place_pages(pages), params, sites)
 
-    The URL decides before the text is read; the earliest copy of an address counts.
+
+def parse_placed_pages(placed: DataFrame, params: Params, sites: DataFrame | None = None) -> DataFrame:
+    """As :func:`parse_site_pages`, for pages that know their ``page`` and ``domain``, and maybe whether they are ``readable``.
+
+    Sites and addresses decide before any text is read; the earliest copy of an address counts.
     """
-    keyed = pages.withColumn("page", canonical_url(F.col("url")))
-    placed = keyed.withColumn("domain", domain_of_canonical(F.col("page")))
     ranked = placed.withColumn("priority", _priority(F.col("page"), F.col("domain"), params))
     reachable = ranked.filter(
-        (F.col("domain") != "")
-        & ((F.col("priority") > 0) | any_of(F.lower(path_of(F.col("page"))), params.contact_link_tokens)))
-    readable = reachable.filter(is_site_page(F.col("html"), F.col("content_type")))
+        (F.col("priority") > 0) | any_of(F.lower(path_of(F.col("page"))), params.contact_link_tokens))
+    if sites is not None:
+        reachable = reachable.join(sites.select("domain").distinct(), "domain", "left_semi")
+    told = F.col("readable") if "readable" in placed.columns else is_site_page(F.col("html"), F.col("content_type"))
+    readable = reachable.filter(told)
     linked = readable.select(
         "page", "domain", "priority", "page_id", "url",
         extract_emails(F.col("html"), params).alias("emails"),
@@ -69,15 +80,14 @@ def parse_site_pages(pages: DataFrame, params: Params) -> DataFrame:
     return first_per_key(narrow, ["page"], F.col("page_id"))
 
 
-def visit_sites(parsed: DataFrame, params: Params, sites: DataFrame | None = None) -> DataFrame:
+def visit_sites(parsed: DataFrame, params: Params) -> DataFrame:
     """Visited pages as ``(domain, visit_no, page, url, emails, socials)``, numbered from 1.
 
-    ``sites(domain)`` restricts the visit. A site takes at most ``max_pages_per_domain`` pages, so
+    A site takes at most ``max_pages_per_domain`` pages, so
     a round handles few rows per site however large the site is; there are at most that many rounds.
     """
     limit = params.max_pages_per_domain
-    pages = parsed if sites is None else parsed.join(sites.select("domain").distinct(), "domain", "left_semi")
-    pages = cut(pages)
+    pages = cut(parsed)
     turn = F.row_number().over(Window.partitionBy("domain").orderBy("queue"))
     first = pages.filter("priority > 0").withColumn("queue", F.struct("priority", F.lit(0)))
     level = cut(first.withColumn("visit_no", turn).filter(F.col("visit_no") <= limit).drop("queue"))

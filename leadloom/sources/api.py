@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leadloom.constants import COUNTRY_LANGUAGE, UNKNOWN
 from leadloom.functions.text import blank, filled, safe_int
 from leadloom.functions.urls import links_in_text, official_website
-from leadloom.operators.order import arrival, file_position, first_per_group, with_position
+from leadloom.operators.order import arrival, file_position, first_per_group
 from leadloom.params import Params
 from leadloom.schemas import candidates_from
 
@@ -95,7 +95,9 @@ def channel_candidates(answers: DataFrame, hits: DataFrame, params: Params, prov
         "text": filled(F.col("s.description"), F.col("b.description"), default=""),
         "land": filled(F.col("s.country"), F.col("b.country")),
     }).withColumn("links", links_in_text(F.col("text")))
-    described = with_position(described, [F.col("hit_ord")], "found_pos")  # any number of items per answer
+    # 31 bits hold any item of an answer, 28 are left for the answers
+    answer = F.when(F.col("hit_ord.answer_no") < 1 << 28, F.col("hit_ord.answer_no")).otherwise(F.raise_error(F.lit("too many answers")).cast("bigint"))
+    described = described.withColumn("found_pos", F.shiftleft(answer, 31) + F.col("hit_ord.item_no"))
     published = blank(F.col("published_at"))
     return candidates_from(
         described, ord=arrival(provider_rank, F.col("found_pos")), source=F.lit("YOUTUBE"), platform=F.lit("YouTube"),
@@ -124,13 +126,18 @@ def wanted_videos(videos: DataFrame, hits: DataFrame, k: int) -> DataFrame:
     return videos.join(ids, "video_id", "left_semi")
 
 
-def with_video_texts(candidates: DataFrame, videos: DataFrame, k: int) -> DataFrame:
-    """Append the descriptions of a channel's first ``k`` videos to its text and links.
+def describe_channels(candidates: DataFrame, answers: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """Candidates with the texts of the first ``k`` videos found of every channel, blank ones left out."""
+    return with_video_texts(candidates, wanted_videos(video_descriptions(answers), hits, k))
 
-    The rank filter runs before the shuffle, so no channel gathers more than ``k`` texts.
+
+def with_video_texts(candidates: DataFrame, videos: DataFrame) -> DataFrame:
+    """Append the descriptions of ``videos`` to the text and links of their channel.
+
+    ``videos`` are the wanted ones (see :func:`wanted_videos`), a few of each channel; which are wanted does not depend on
+    their texts.
     """
-    early = first_per_group(videos, ["channel_id"], [F.col("hit_ord")], k)
-    texts = early.groupBy("channel_id").agg(
+    texts = videos.groupBy("channel_id").agg(
         F.array_sort(F.collect_list(F.struct("hit_ord", "description"))).alias("v")).select(
         F.col("channel_id").alias("_channel"), F.transform("v", lambda x: x["description"]).alias("_texts"))
     joined = candidates.join(texts, candidates["provider_id"] == F.col("_channel"), "left")

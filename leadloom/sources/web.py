@@ -67,36 +67,40 @@ def _texts(xml: Column, path: str) -> Column:
     return F.xpath(xml, F.lit(path))
 
 
+_ENTRY = "STRUCT<title: ARRAY<STRING>, pubDate: ARRAY<STRING>, published: ARRAY<STRING>>"
+_HEAD = ("title: ARRAY<STRING>, description: ARRAY<STRING>, subtitle: ARRAY<STRING>, "
+         "link: ARRAY<STRUCT<_VALUE: STRING, _href: STRING, _rel: STRING>>")
+#: a feed of either kind: a channel with its items in or behind it, or a feed with entries
+FEED_SCHEMA = f"STRUCT<channel: STRUCT<{_HEAD}, item: ARRAY<{_ENTRY}>>, item: ARRAY<{_ENTRY}>, {_HEAD}, entry: ARRAY<{_ENTRY}>, _corrupt_record: STRING>"
+
+
 def feed_candidates(feeds: DataFrame, params: Params, provider_rank: int = 3) -> DataFrame:
     """One candidate per feed from ``feeds(pos, url, xml)``; RSS ``item`` and Atom ``entry`` alike.
 
-    The first ten entries count: the first one dates the feed, the titles of the first five are its
-    summary.
+    The first ten entries count: the first one dates the feed, the titles of the first five are its summary; an entry
+    without a title counts with an empty one. A feed is parsed once, by its schema.
     """
-    readable = feeds.filter(well_formed(F.col("xml")))
-    channel = "/*/*[local-name()='channel']"
+    parsed = feeds.withColumn("f", F.from_xml("xml", FEED_SCHEMA, {"mode": "PERMISSIVE", "ignoreNamespace": "true"}))
+    readable = parsed.filter(blank(F.col("xml")).rlike(r"^\s*<") & F.col("f._corrupt_record").isNull())
 
-    def head(name: str) -> Column:
-        rss = F.get(_texts(F.col("xml"), f"{channel}/*[name()='{name}']/text()"), F.lit(0))
-        atom = F.get(_texts(F.col("xml"), f"/*/*[local-name()='{name}']/text()"), F.lit(0))
-        return F.coalesce(rss, atom)
+    def first(texts: Column) -> Column:
+        return F.get(texts, F.lit(0))
 
-    entry = "//*[local-name()='item' or local-name()='entry']"
-    n = params.feed_entries
+    def head(name: str) -> Column:
+        return F.coalesce(first(F.col(f"f.channel.{name}")), first(F.col(f"f.{name}")))
 
-    def of_entries(names: str) -> Column:
-        return F.slice(_texts(F.col("xml"), f"({entry})[position()<={n}]/*[{names}][1]/text()"), 1, n)
+    def text_link(links: Column) -> Column:
+        return first(F.filter(links, lambda x: blank(x["_VALUE"]) != ""))["_VALUE"]
 
-    atom_link = F.get(_texts(F.col("xml"), "/*/*[local-name()='link'][not(@rel) or @rel='alternate']/@href"), F.lit(0))
-    first_date = F.get(_texts(
-        F.col("xml"), f"({entry})[1]/*[local-name()='pubDate' or local-name()='published'][1]/text()"), F.lit(0))
-    read = readable.select(
+    pointed = F.filter("f.link", lambda x: x["_href"].isNotNull() & F.coalesce(x["_rel"] == "alternate", F.lit(True)))
+    entries = F.slice(F.coalesce("f.channel.item", "f.item", "f.entry", F.array().cast(f"ARRAY<{_ENTRY}>")), 1, params.feed_entries)
+    read = readable.select("pos", "url", "f", entries.alias("entries")).select(
         "pos", "url",
-        strip(blank(F.coalesce(head("link"), atom_link))).alias("link"),
+        strip(blank(F.coalesce(text_link(F.col("f.channel.link")), text_link(F.col("f.link")), first(pointed)["_href"]))).alias("link"),
         strip(blank(head("title"))).alias("title"),
         strip(blank(F.coalesce(head("description"), head("subtitle")))).alias("subtitle"),
-        F.transform(F.slice(of_entries("local-name()='title'"), 1, params.feed_summary_titles), strip).alias("titles"),
-        strip(blank(first_date)).alias("published"))
+        F.transform(F.slice("entries", 1, params.feed_summary_titles), lambda e: strip(blank(first(e["title"])))).alias("titles"),
+        strip(blank(F.coalesce(first(first(F.col("entries"))["pubDate"]), first(first(F.col("entries"))["published"])))).alias("published"))
     placed = (read.withColumn("site", filled(canonical_url(F.col("link")), canonical_url(F.col("url")), default=""))
               .withColumn("domain", domain_of_canonical(F.col("site"))).filter("domain != ''")
               .withColumn("summary", F.array_join("titles", " ")))

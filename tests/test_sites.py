@@ -64,4 +64,4 @@ def test_emails_and_links_of_a_site(spark):
     assert (best.site_email, best.site_preference) == ("info@a.org", 35)
     links = [r.link for r in site_socials(visits).orderBy("seen_at").collect()]
     assert links == ["https://tiktok.com/@a", "https://instagram.com/a"]
-    assert visit_sites(parse_site_pages(df, P), P, spark.createDataFrame([("b.org",)], "domain STRING")).count() == 0
+    assert visit_sites(parse_site_pages(df, P, spark.createDataFrame([("b.org",)], "domain STRING")), P).count() == 0
