@@ -20,13 +20,10 @@ from leadloom.functions.identity import (
 from leadloom.functions.text import SPACE, blank, compact, fold_words, strip
 from leadloom.functions.udfs import similarity_to_each
 from leadloom.operators.order import first_rows
+from leadloom.operators.skew import skewed_join
 from leadloom.params import Params
 
 
-# tasks that share the leads of one generic mailbox
-SALTS = 64
-
-
 def profiles_in_results(results: DataFrame) -> DataFrame:
     """``(query, failed, found)`` with ``found`` an array of distinct ``(profile, title)`` by rank."""
     linked = results.select(
@@ -104,18 +101,12 @@ def compact_each(titles: Column) -> Column:
 def _answered(queries: DataFrame, found: DataFrame) -> DataFrame:
     """Queries with their result row.
 
-    Very many leads may share the first query of a generic mailbox. These queries are known in
-    advance, so their few result rows are repeated under every salt and their leads spread over the
-    salts. Leads without a query match nothing and are spread as well.
+    Very many leads may share a query, the first one of a generic mailbox for example: such queries are measured and their
+    leads spread. Leads without a query match nothing and are spread as well.
     """
-    shared = F.col("query").isin([f"{local} instagram" for local in k.GENERIC_LOCALS])
-    salt = F.pmod(F.xxhash64("lead_id"), F.lit(SALTS)).cast("int")
-    left = queries.withColumns({
-        "_query": F.coalesce("query", F.concat(F.lit("#"), F.col("lead_id"))),
-        "_salt": F.when(shared, salt).otherwise(0)})
-    salts = F.when(shared, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = found.select(F.col("query").alias("_query"), "failed", "found", F.explode(salts).alias("_salt"))
-    return left.join(right, ["_query", "_salt"], "left").drop("_query", "_salt")
+    keyed = queries.withColumn("_query", F.coalesce("query", F.concat(F.lit("#"), F.col("lead_id"))))
+    answers = found.select(F.col("query").alias("_query"), "failed", "found")
+    return skewed_join(keyed, answers, "_query", "lead_id").drop("_query")
 
 
 def find_profiles(leads: DataFrame, results: DataFrame, params: Params) -> DataFrame:
@@ -167,7 +158,7 @@ def split_by_cache(leads: DataFrame, cache: DataFrame, params: Params, order: st
     recent = within_days(F.col("checked_at"), params.cache_ttl_days, params, inclusive=True)
     blank_key = F.concat(F.lit("#"), F.col(order))
     keyed = leads.withColumn("_key", F.when(blank(F.col("email")) == "", blank_key).otherwise(F.col("email")))
-    joined = keyed.join(named, F.col("_key") == F.col("c_email"), "left").drop("_key")
+    joined = skewed_join(keyed, named.withColumn("_key", F.col("c_email")), "_key", order).drop("_key")
     return joined.withColumn(
         "fresh", known & ((blank(F.col("c_url")) != "") | recent)).drop("c_email", "checked_at")
 

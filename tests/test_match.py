@@ -141,3 +141,27 @@ def test_backfill(spark):
     assert {r.row_no: r.action for r in limited.collect()} == {0: "lookup", 1: None, 2: None, 3: None, 4: None, 5: None, 6: None}
     both = backfill_candidates(leads, cache, Params(as_of=P.as_of, backfill_limit=2))
     assert {r.row_no: r.action for r in both.collect()} == {0: "lookup", 1: "cached", 2: None, 3: None, 4: None, 5: "lookup", 6: None}
+
+
+def test_hot_keys_are_measured_and_spread(spark):
+    """A third of the leads share one address, which no list names: no task gets many more rows than others."""
+    from leadloom.operators.skew import hot_values, skewed_join
+
+    leads = spark.range(30_000, numPartitions=6).select(
+        "id", F.when(F.col("id") % 3 == 0, "shared@x.org").otherwise(F.concat(F.col("id"), F.lit("@x.org"))).alias("email"))
+    cache = spark.range(0, 30_000, 2).select(F.concat(F.col("id"), F.lit("@x.org")).alias("email"), F.col("id").alias("hit")).union(
+        spark.createDataFrame([("shared@x.org", -1)], "email STRING, hit BIGINT"))
+    assert hot_values(leads, "email") == ["shared@x.org"] and hot_values(cache, "email") == []
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = skewed_join(leads, cache, "email", "id")
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sizes[-1] <= 3 * sizes[len(sizes) // 2] and sum(sizes) == 30_000
+        rows = joined.agg(F.count("*"), F.count_if(F.col("hit") == -1), F.count("hit")).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tuple(rows) == (30_000, 10_000, 10_000 + sum(1 for i in range(0, 30_000, 2) if i % 3))
