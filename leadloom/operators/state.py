@@ -97,6 +97,16 @@ def known_ids(stored: DataFrame, seen: DataFrame, column: str, keep: int | None)
     return last_rows(stored.select(column).union(seen.select(column)).distinct(), keep, column)
 
 
+def first_seen(stored: DataFrame, seen: DataFrame, column: str, version: int, keep: int | None) -> DataFrame:
+    """A set in order of first sight, as ``column, place``: stored values stay where they are, new ones follow in ``ord``.
+
+    A limit keeps the last ones; a value that fell out and is seen again is new.
+    """
+    place = F.array(F.lit(version), F.col("ord")).cast("array<bigint>").alias("place")
+    both = stored.select(column, "place").unionByName(seen.select(column, place))
+    return last_rows(both.groupBy(column).agg(F.min("place").alias("place")), keep, "place")
+
+
 def refresh_choice(found: DataFrame, known: DataFrame, checked: DataFrame, params: Params) -> DataFrame:
     """Channels to refresh: all found now, filled up to a floor with the longest unchecked.
 

@@ -64,6 +64,8 @@ class Params:
     channels_refreshed: int = 100
     channels_refresh_floor: int = 50
     known_channels_kept: int | None = None
+    videos_kept: int | None = None
+    queries_kept: int | None = None
     score_header: str = "Lead Score"
 
     def __post_init__(self) -> None:
@@ -75,7 +77,7 @@ class Params:
     def hourly(cls, **changes) -> "Params":
         """The row limits of a small hourly run."""
         limits = dict(target_leads=500, max_enrichments=120, max_websites=120, max_seed_pages=50,
-                      backfill_limit=100, known_channels_kept=5000)
+                      backfill_limit=100, known_channels_kept=5000, videos_kept=10_000, queries_kept=2_000)
         return cls(**{**limits, **changes})
 
     def validate(self) -> None:

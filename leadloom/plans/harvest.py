@@ -7,18 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.constants import NOT_CHECKED, UNKNOWN
+from leadloom.constants import NOT_CHECKED, NOT_FOUND
 from leadloom.functions.ids import stable_id
 from leadloom.functions.qualification import score_candidates
 from leadloom.functions.text import blank, filled
 from leadloom.functions.urls import canonical_domain
 from leadloom.operators.best import best_emails
 from leadloom.operators.checkpoints import cut
+from leadloom.operators.counters import Counters
 from leadloom.operators.dedup import dedup_candidates
 from leadloom.operators.match import find_profiles, split_by_cache
 from leadloom.operators.merge import merge_counts, merge_leads, table_order, verified_only
 from leadloom.operators.order import first_rows
-from leadloom.operators.sites import best_site_email, parse_site_pages, site_emails, visit_sites
+from leadloom.operators.sites import best_site_email, parse_placed_pages, place_pages, site_emails, visit_sites
 from leadloom.params import Params
 from leadloom.plans.report import with_ratios, with_run_status
 from leadloom.schemas import CACHE_DDL, LEAD_COLUMNS, LEAD_FIELDS
@@ -26,7 +27,10 @@ from leadloom.schemas import CACHE_DDL, LEAD_COLUMNS, LEAD_FIELDS
 
 @dataclass(frozen=True)
 class Inputs:
-    """Stored inputs of a run; pages, search results and cache may be missing."""
+    """Stored inputs of a run; pages, search results and cache may be missing.
+
+    Pages that come from a page index know their ``page`` and ``domain``.
+    """
 
     candidates: DataFrame
     pages: DataFrame | None = None
@@ -42,6 +46,10 @@ class Harvest:
     leads: DataFrame
     answers: DataFrame
     visits: DataFrame | None
+    #: the qualified candidates: ``source, provider_id, site_domain, website, email``
+    processed: DataFrame
+    #: counters that are taken while the plan runs
+    counters: list[Counters]
 
 
 def qualified(unique: DataFrame, params: Params) -> DataFrame:
@@ -87,8 +95,9 @@ def _answers(leads: DataFrame, inputs: Inputs, params: Params) -> tuple[DataFram
     def pick(field: str, default: str) -> Column:
         return F.coalesce(F.when(cached, F.col(f"c_{field}")).otherwise(F.col(f"f_{field}")), F.lit(default))
 
+    status = F.when(cached, F.coalesce("c_status", F.lit(NOT_FOUND))).otherwise(F.coalesce("f_status", F.lit(NOT_CHECKED)))
     done = joined.withColumns({
-        "instagram_url": pick("url", ""), "instagram_status": pick("status", NOT_CHECKED),
+        "instagram_url": pick("url", ""), "instagram_status": status,
         "instagram_search_query": pick("query", "")})
     new = joined.filter("_ord IS NOT NULL").groupBy("email").agg(
         F.max_by(F.struct("f_url", "f_status", "f_query", "confidence"), "ord").alias("r"))
@@ -100,15 +109,23 @@ def _answers(leads: DataFrame, inputs: Inputs, params: Params) -> tuple[DataFram
 
 
 def harvest(inputs: Inputs, params: Params) -> Harvest:
-    """Turn candidates into leads. Only the dedup, the site visits and the cuts run eagerly."""
-    unique = dedup_candidates(inputs.candidates)
-    placed = with_site_domain(qualified(unique, params), params)
+    """Turn candidates into leads. Only the dedup, the site visits and the cuts run eagerly.
+
+    Counters are observed on the plan itself, so they cost no pass of their own.
+    """
+    every = F.count(F.lit(1))
+    counters = [Counters(candidates_found=every), Counters(unique_candidates=every), Counters(qualified=every)]
+    unique = dedup_candidates(inputs.candidates, counters=counters[0])
+    scored = qualified(counters[1].of(unique), params)
+    placed = with_site_domain(counters[2].of(scored), params)
     visits = None
     site_best = _no_sites(placed)
     if inputs.pages is not None:
         placed = cut(placed)
+        known = {"page", "domain"} <= set(inputs.pages.columns)
         sites = placed.filter("site_domain IS NOT NULL").select(F.col("site_domain").alias("domain"))
-        visits = visit_sites(parse_site_pages(inputs.pages, params), params, sites)
+        pages = inputs.pages if known else place_pages(inputs.pages)
+        visits = visit_sites(parse_placed_pages(pages, params, sites), params)
         site_best = best_site_email(site_emails(visits))
     mailed = best_emails(placed, site_best, params).withColumn("website", F.when(
         F.col("site_domain").isNotNull(), F.concat(F.lit("https://"), F.col("site_domain"))).otherwise(F.col("website")))
@@ -123,7 +140,8 @@ def harvest(inputs: Inputs, params: Params) -> Harvest:
     leads = done.select("ord", *[
         (values[c] if c in values else F.col(c) if c in done.columns else F.lit(defaults[c])).alias(c)
         for c in LEAD_FIELDS])
-    return Harvest(unique, first_rows(leads, params.target_leads, "ord"), answers, visits)
+    processed = done.select("source", "provider_id", "site_domain", "website", "email")
+    return Harvest(unique, first_rows(leads, params.target_leads, "ord"), answers, visits, processed, counters)
 
 
 def store(stored: DataFrame, leads: DataFrame, params: Params, path: str) -> DataFrame:

@@ -34,20 +34,20 @@ def hot_view(leads: DataFrame) -> DataFrame:
     return leads.filter(is_hot(F.col("classification"))).select(*HOT_FIELDS)
 
 
-def sorted_hot_view(leads: DataFrame, order: str = "row_no") -> DataFrame:
-    """Verified leads first, then by score; equal ones in table order."""
+def sorted_hot_view(leads: DataFrame, *order: str | Column) -> DataFrame:
+    """Verified leads first, then by score; equal ones in table order (``row_no`` if no other is given)."""
     hot = leads.filter(is_hot(F.col("classification")))
     verified = (blank(F.col("email_status")) == VERIFIED).cast("int")
-    return hot.orderBy(verified.desc(), F.coalesce("lead_score", F.lit(0)).desc(), order).select(*HOT_FIELDS)
+    return hot.orderBy(verified.desc(), F.coalesce("lead_score", F.lit(0)).desc(), *(order or ("row_no",))).select(*HOT_FIELDS)
 
 
 def no_email_view(leads: DataFrame) -> DataFrame:
     return leads.filter(~has_email(F.col("email"))).select(*NO_EMAIL_FIELDS)
 
 
-def sorted_no_email_view(leads: DataFrame, order: str = "row_no") -> DataFrame:
+def sorted_no_email_view(leads: DataFrame, *order: str | Column) -> DataFrame:
     blank_mail = leads.filter(~has_email(F.col("email")))
-    return blank_mail.orderBy(F.coalesce("lead_score", F.lit(0)).desc(), order).select(*NO_EMAIL_FIELDS)
+    return blank_mail.orderBy(F.coalesce("lead_score", F.lit(0)).desc(), *(order or ("row_no",))).select(*NO_EMAIL_FIELDS)
 
 
 def lead_counts(leads: DataFrame, today: str) -> DataFrame:
@@ -70,17 +70,18 @@ def lead_counts(leads: DataFrame, today: str) -> DataFrame:
     return row.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def counts_by_dimension(leads: DataFrame, order: str = "row_no", top: int = TOP_PER_DIMENSION) -> DataFrame:
+def counts_by_dimension(leads: DataFrame, order: str = "row_no", top: int = TOP_PER_DIMENSION,
+                        newest: Column | None = None) -> DataFrame:
     """``(dimension, value, leads, place)``: the most common values per dimension in one pass.
 
-    Ties go to the value that appears first. The rank filter runs before the shuffle as well, so a
+    Ties go to the value that appears first, that is at the least ``order``, or the largest ``newest``. The rank filter runs before the shuffle as well, so a
     dimension with very many values sends only its best ones.
     """
-    shown = leads.select(F.col(order).alias("_ord"), *[
+    shown = leads.select((F.col(order) if newest is None else newest).alias("_ord"), *[
         F.coalesce(F.nullif(F.col(d), F.lit("")), F.lit(UNKNOWN)).alias(d) for d in DIMENSIONS])
     sets = [[F.col(d)] for d in DIMENSIONS]
     grouped = shown.groupingSets(sets, *DIMENSIONS).agg(
-        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("leads"), F.min("_ord").alias("_first"))
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("leads"), (F.min if newest is None else F.max)("_ord").alias("_first"))
     # grouping_id has a 0 bit for the grouped column, first column in the highest bit
     masks = {(1 << len(DIMENSIONS)) - 1 - (1 << (len(DIMENSIONS) - 1 - i)): d for i, d in enumerate(DIMENSIONS)}
     dimension, value = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -89,7 +90,7 @@ def counts_by_dimension(leads: DataFrame, order: str = "row_no", top: int = TOP_
         dimension = F.when(here, name).otherwise(dimension)
         value = F.when(here, F.col(name)).otherwise(value)
     named = grouped.select(dimension.alias("dimension"), value.alias("value"), "leads", "_first")
-    place = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("leads"), "_first"))
+    place = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("leads"), F.asc("_first") if newest is None else F.desc("_first")))
     return named.withColumn("place", place).filter(F.col("place") <= top).drop("_first")
 
 
@@ -102,13 +103,13 @@ def run_metric_rows(run: DataFrame) -> DataFrame:
     return run.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def stats_table(leads: DataFrame, run: DataFrame, today: str, order: str = "row_no") -> DataFrame:
-    """The whole statistics table as ``(metric, value)`` text rows in their order.
+def stats_lines(leads: DataFrame, run: DataFrame, today: str, order: str = "row_no", newest: Column | None = None) -> DataFrame:
+    """The whole statistics table as ``(line, metric, value)`` text rows.
 
     Its size is fixed by the counts and the top lists, whatever the size of the lead table.
     """
     counts = lead_counts(leads, today).select("line", "metric", F.col("value").cast("string").alias("value"))
-    ranked = counts_by_dimension(leads, order)
+    ranked = counts_by_dimension(leads, order, newest=newest)
     start = {d: 100 + 100 * i for i, d in enumerate(DIMENSIONS)}
     base = F.create_map(*[F.lit(x) for pair in start.items() for x in pair])
     lines = ranked.select(
@@ -116,5 +117,9 @@ def stats_table(leads: DataFrame, run: DataFrame, today: str, order: str = "row_
         F.concat(F.lit("  "), F.col("value")).alias("metric"), F.col("leads").cast("string").alias("value"))
     titles = leads.sparkSession.createDataFrame(
         [(start[d], f"LEADS BY {d.upper()}", "") for d in DIMENSIONS], "line INT, metric STRING, value STRING")
-    return (counts.unionByName(run_metric_rows(run)).unionByName(titles).unionByName(lines)
-            .orderBy("line").select("metric", "value"))
+    return counts.unionByName(run_metric_rows(run)).unionByName(titles).unionByName(lines)
+
+
+def stats_table(leads: DataFrame, run: DataFrame, today: str, order: str = "row_no") -> DataFrame:
+    """The statistics as ``(metric, value)`` rows in their order."""
+    return stats_lines(leads, run, today, order).orderBy("line").select("metric", "value")

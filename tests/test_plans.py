@@ -1,16 +1,23 @@
 import json
+import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from leadloom import Params
+from leadloom.operators.sites import parse_placed_pages
 from leadloom.plans.harvest import Inputs, channel_state, harvest, run_report, store
-from leadloom.schemas import CACHE_DDL, LEAD_FIELDS, candidates_from
+from leadloom.plans.runs import Runs, run
+from leadloom.schemas import CACHE_DDL, candidates_from
+from leadloom.sources.page_index import add_pages, page_index
+from leadloom.sources.store import store_order
 from leadloom.sources.tables import append_report, empty_leads, read_leads
 from leadloom.streaming.failures import read_failures, stream_failures
-from leadloom.streaming.incremental import read_candidate_stream, stream_leads, table_path
+from leadloom.streaming.incremental import read_candidate_stream, stream_leads
 
 P = Params(as_of="2026-08-17T12:00:00+00:00", target_niches=("shop",), min_score=20)
+FAILURES = "key STRING, error STRING, seen_at STRING, seq BIGINT"
 CAND = "i BIGINT, source STRING, pid STRING, name STRING, username STRING, website STRING, text STRING, niche STRING"
 
 
@@ -79,23 +86,97 @@ def test_email_first(spark, tmp_path, finished):
 
 
 def test_stream_of_candidates(spark, tmp_path):
-    source = str(tmp_path / "in")
-    given = inputs(spark).candidates
-    given.filter("ord < 2").coalesce(1).write.parquet(source)
+    source, runs = str(tmp_path / "in"), Runs(str(tmp_path / "tables"), 4)
+    given = inputs(spark)
+    given.candidates.filter("ord < 2").coalesce(1).write.parquet(source)
     seen = []
 
-    def run():
-        stream = read_candidate_stream(spark, source, given.schema)
-        stream_leads(stream, str(tmp_path / "table"), str(tmp_path / "ck"), P, after=lambda counts, n: seen.append((n, counts.first().new_leads)))
-
-    run()
-    given.filter("ord >= 1").coalesce(1).write.mode("append").parquet(source)
-    run()
-    assert seen == [(0, 1), (1, 3)]
-    final = read_leads(spark, table_path(str(tmp_path / "table"), 1))
-    assert {r.name for r in final.collect()} == {"Ann", "Dup", "Bob", "Cleo"} and final.columns == LEAD_FIELDS + ["row_no"]
-    run()
+    def stream(checkpoint="ck"):
+        files = read_candidate_stream(spark, source, given.candidates.schema)
+        stream_leads(files, runs, str(tmp_path / checkpoint), P, given.pages, given.results, seen.append)
+
+    stream()
+    # files of another run: their candidates are numbered alike, and one order occurs twice
+    more = given.candidates.filter("ord >= 1").withColumn("ord", F.greatest(F.col("ord"), F.lit(2)))
+    more.coalesce(1).write.mode("append").parquet(source)
+    stream()
+    assert [(r["batch"], r["new_leads"]) for r in seen] == [(0, 1), (1, 3)]
+    assert [r.name for r in runs.read(spark, "leads").orderBy(*store_order()).collect()] == ["Ann", "Dup", "Bob", "Cleo"]
+    assert {r.email for r in runs.read(spark, "lookup_cache").collect()} == {"contact@a.org", "info@b.org"}
+    stream()
     assert len(seen) == 2
+    # a fresh checkpoint meets all files again: leads that are there are updated, and the cache answers
+    stream("fresh")
+    assert seen[2]["new_leads"] == 0 and seen[2]["instagram_lookups"] == 0 and runs.newest(spark) == 2
+    # a batch whose commit was written, but which the stream does not know as done, is not run again
+    for name in ("commits", "offsets"):
+        for f in (tmp_path / "fresh" / name).glob("*0*"):
+            if name == "commits":
+                f.unlink()
+    stream("fresh")
+    assert runs.newest(spark) == 2 and len(seen) == 3
+
+
+def test_runs_on_stored_tables(spark, tmp_path):
+    given, runs = inputs(spark), Runs(str(tmp_path), 4)
+    videos = spark.createDataFrame([("UC1", "v2"), ("UC1", "v1"), ("gone", "v9")], "channel_id STRING, video_id STRING")
+    asked = [spark.createDataFrame(rows, "query STRING, ord BIGINT") for rows in ([("b", 0), ("a", 1), ("b", 2)], [("c", 0), ("a", 1)])]
+    failures = spark.createDataFrame([("provider:WEB", "Timeout", P.as_of, 1), ("provider:WEB", "Refused", P.as_of, 2)], FAILURES)
+    limited = Params(**{**P.__dict__, "videos_kept": 1, "queries_kept": 2})
+    first = run(spark, runs, given, limited, run_id="one", queries=asked[0], videos=videos, failures=failures, requests={"youtube_requests": 4})
+    assert {k: first[k] for k in ("candidates_found", "unique_candidates", "duplicates_prevented", "qualified", "new_leads", "updated_leads", "emails_found",
+                                  "instagram_lookups", "instagram_found", "websites_crawled", "youtube_requests", "errors")} == {
+        "candidates_found": 5, "unique_candidates": 4, "duplicates_prevented": 1, "qualified": 3, "new_leads": 3, "updated_leads": 0, "emails_found": 2,
+        "instagram_lookups": 1, "instagram_found": 1, "websites_crawled": 2, "youtube_requests": 4, "errors": 2}
+
+    def rows(name, *columns):
+        return sorted(tuple(r) for r in runs.read(spark, name).select(*columns).collect())
+
+    assert rows("sites_checked", "site", "checked_at") == [("https://a.org", P.as_of), ("https://b.org", P.as_of)]
+    assert rows("emails_checked", "email") == [("contact@a.org",), ("info@b.org",)] and rows("channels_checked", "channel_id") == [("UC1",)]
+    assert rows("processed_videos", "video_id") == [("v2",)] and rows("provider_state", "key", "value") == [("last_run", "one")]
+    assert rows("failures", "key", "count", "last_error", "in_dead") == [("provider:WEB", 2, "Refused", False)]
+    later = Params(**{**limited.__dict__, "as_of": "2026-08-18T12:00:00+00:00"})
+    second = run(spark, runs, replace(given, cache=None), later, run_id="two", queries=asked[1], failures=failures.limit(1))
+    # the cache of the first run answers one lookup; the given one is no longer there
+    assert (second["new_leads"], second["updated_leads"], second["total_leads"], second["instagram_lookups"], second["version"]) == (0, 3, 3, 1, 1)
+    assert [r.query for r in runs.read(spark, "processed_queries").orderBy("place").collect()] == ["a", "c"]
+    assert rows("failures", "count", "in_retry", "in_dead") == [(3, True, True)] and rows("channels_checked", "checked_at") == [(later.as_of,)]
+    assert [(r.version, r.run_id) for r in runs.reports(spark).orderBy("version").collect()] == [(0, "one"), (1, "two")]
+    assert runs.report(spark, later).first().verified_emails_per_website == 1.0
+    stats = {r.metric: r.value for r in runs.view(spark, "stats").collect()}
+    assert (stats["TOTAL LEADS"], stats["EMAILS FOUND"], stats["NEW LEADS LAST RUN"], stats["NEW TODAY"]) == ("3", "2", "0", "0")
+    assert [r.name for r in runs.view(spark, "no_email").orderBy("line").collect()] == ["Cleo"]
+    assert runs.view(spark, "hot").columns[-1] == "line"
+    # a run that was lost before its commit leaves the tables as they were
+    before = rows("leads", "lead_id", "last_checked")
+    (tmp_path / "runs" / "version=1").rename(tmp_path / "lost")
+    assert runs.newest(spark) == 0 and rows("emails_checked", "checked_at") == [(P.as_of,), (P.as_of,)]
+    again = run(spark, runs, replace(given, cache=None), later, run_id="two", queries=asked[1], failures=failures.limit(1))
+    assert again["version"] == 1 and again["total_leads"] == 3 and rows("leads", "lead_id", "last_checked") == before
+    assert rows("failures", "count") == [(3,)]
+
+
+def test_no_candidates(spark, tmp_path):
+    runs = Runs(str(tmp_path), 4)
+    counters = run(spark, runs, replace(inputs(spark), candidates=inputs(spark).candidates.limit(0)), P, run_id="none")
+    assert counters["candidates_found"] == counters["qualified"] == counters["total_leads"] == counters["websites_crawled"] == 0
+    assert runs.read(spark, "leads").isEmpty() and runs.view(spark, "hot").isEmpty()
+
+
+def test_sites_are_joined_before_pages_are_parsed(spark, tmp_path):
+    index = page_index(str(tmp_path), 4)
+    pages = inputs(spark).pages
+    assert add_pages(spark, index, pages) == 2
+    more = spark.createDataFrame([(2, "https://A.org/about", "<html>z@a.org", "text/html"), (3, "", "<html>", "text/html")], pages.schema)
+    assert add_pages(spark, index, more) == 3
+    sites = spark.createDataFrame([("a.org",)], "domain STRING")
+    parsed = parse_placed_pages(index.read(spark), P, sites)
+    assert sorted((r.page, list(r.emails)) for r in parsed.collect()) == [("https://a.org/about", ["z@a.org"]), ("https://a.org/contact", ["contact@a.org"])]
+    plan = parsed._jdf.queryExecution().sparkPlan().toString()
+    below = plan[plan.index("LeftSemi"):]  # what feeds the join of the sites
+    assert "html" in below and "Arrow" not in below and "RLIKE" not in below
+    assert not re.search(r"(regexp\w*|lower|substring|contains|transform)\(html#", below, re.I)
 
 
 def test_stream_of_failures(spark, tmp_path):
