@@ -17,7 +17,7 @@ HEADLINES = [
     "url_canonical", "doc_emails", "mask_secrets", "page_links", "web_candidates", "page_dedup", "multi_key_dedup",
     "lead_score", "lead_hot", "lead_reasons", "stable_ids", "lead_upsert", "hot_view", "lead_stats", "lead_stats_by_dim",
     "failure_split", "stream_failures", "channel_rollup", "channel_candidates", "video_text_merge", "handle_match", "site_emails",
-    "site_visits", "sitemap_first_per_domain", "run_report", "ttl_anti",
+    "site_visits", "sitemap_first_per_domain", "run_report", "ttl_anti", "feed_candidates", "store_merge", "harvest_leads", "stream_queues",
 ]
 
 

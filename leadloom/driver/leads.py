@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from leadloom.driver.adapters import (
@@ -10,9 +12,10 @@ from leadloom.driver.adapters import (
 from leadloom.driver.registry import query, table
 from leadloom.functions.qualification import SIGNALS, score_candidates
 from leadloom.operators.merge import merge_counts, merge_leads, table_order, verified_only
-from leadloom.operators.order import with_position
+from leadloom.operators.order import first_rows, with_position
+from leadloom.plans.harvest import qualified
 from leadloom.plans.report import with_ratios, with_run_status
-from leadloom.plans.views import counts_by_dimension, hot_view, lead_counts, no_email_view
+from leadloom.plans.views import counts_by_dimension, hot_view, lead_counts, no_email_view, sorted_hot_view, sorted_no_email_view
 from leadloom.sources.tables import from_display, headers, to_display
 
 
@@ -107,10 +110,26 @@ WITH {STORED_SQL}
 SELECT name, row_number() OVER (ORDER BY CAST(email_status = 'VERIFIED_PUBLIC_SOURCE' AS INT) DESC, lead_score DESC, row_no) - 1 AS pos
 FROM stored WHERE upper(classification) = 'HOT'""")
 def hot_view_order(spark, sf_dir):
-    leads = stored_leads(spark, sf_dir)
-    hot = leads.filter(F.upper("classification") == "HOT")
-    verified = (F.col("email_status") == "VERIFIED_PUBLIC_SOURCE").cast("int")
-    return with_position(hot, [verified.desc(), F.col("lead_score").desc(), F.col("row_no")]).select("name", "pos")
+    hot = sorted_hot_view(stored_leads(spark, sf_dir)).withColumn("line", F.monotonically_increasing_id())  # rises with the sort
+    return with_position(hot, [F.col("line")]).select("name", "pos")
+
+
+@query("no_email_order", f"""
+WITH {STORED_SQL}
+SELECT name, row_number() OVER (ORDER BY lead_score DESC, row_no) - 1 AS pos FROM stored WHERE trim(email) = ''""")
+def no_email_order(spark, sf_dir):
+    rows = sorted_no_email_view(stored_leads(spark, sf_dir)).withColumn("line", F.monotonically_increasing_id())
+    return with_position(rows, [F.col("line")]).select("name", "pos")
+
+
+@query("lead_limit", f"""
+WITH {SCORED_SQL}, first AS (SELECT * FROM classed ORDER BY c_custkey LIMIT 120)
+SELECT c_custkey, CAST(score AS INT) AS score FROM (SELECT * FROM first WHERE score >= 55 ORDER BY c_custkey LIMIT 40)""")
+def lead_limit(spark, sf_dir):
+    """The leads of a limited run: the first candidates are scored, the first leads kept."""
+    limited = replace(PARAMS, target_leads=40)
+    taken = qualified(customer_candidates(spark, sf_dir), limited)
+    return first_rows(taken, limited.target_leads, "ord").select(F.col("ord").alias("c_custkey"), "score")
 
 
 @query("no_email_view", f"""

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from leadloom.constants import WEB_SOCIAL_HOSTS
 from leadloom.driver.adapters import PARAMS, iso, stored_pages
 from leadloom.driver.registry import query, table
 from leadloom.driver.text import CANONICAL_SQL
-from leadloom.operators.order import first_per_group
-from leadloom.operators.sites import best_site_email, page_links, parse_site_pages, site_emails, visit_sites
+from leadloom.operators.sites import best_site_email, page_links, parse_site_pages, site_emails, social_links, visit_sites
 from leadloom.params import Params
 from leadloom.schemas import candidates_from
 from leadloom.sources.api import (
-    CHANNEL_SCHEMA, SEARCH_SCHEMA, VIDEO_SCHEMA, channel_candidates, channel_rollup, first_videos, search_hits,
-    video_descriptions, with_video_texts,
+    CHANNEL_SCHEMA, SEARCH_SCHEMA, VIDEO_SCHEMA, channel_candidates, channel_rollup, channel_videos, describe_channels, first_videos,
+    search_hits,
 )
 from leadloom.sources.registry import union_sources
 from leadloom.sources.web import feed_candidates, page_candidates, seed_candidates, sitemap_candidates
@@ -52,6 +52,13 @@ def first_videos_query(spark, sf_dir):
     return first_videos(_event_search(spark, sf_dir), 4).select("channel_id", F.array_join("video_ids", ",").alias("videos"))
 
 
+@query("channel_videos", """
+SELECT 'u' || user_id AS channel_id, 'v' || event_id AS video_id, event_id AS answer_no FROM events WHERE value > 5 AND event_type <> 'error'""")
+def channel_videos_query(spark, sf_dir):
+    """All videos of every channel, as rows."""
+    return channel_videos(_event_search(spark, sf_dir)).select("channel_id", "video_id", F.col("hit_ord.answer_no").alias("answer_no"))
+
+
 def _customer_channels(spark, sf_dir):
     """Customers as channel answers with one item; their document is the description."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -98,20 +105,24 @@ def channel_candidates_query(spark, sf_dir):
 
 @query("video_text_merge", """
 WITH early AS (
-  SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations WHERE text <> ''),
-texts AS (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS more, count(*) AS n FROM early WHERE rn <= 4 GROUP BY 1)
+  SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations),
+texts AS (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS more, count(*) AS n FROM early
+          WHERE rn <= 4 AND turn % 3 <> 1 AND text <> '' GROUP BY 1)
 SELECT doc_id, md5(CASE WHEN more IS NULL THEN text ELSE text || chr(10) || chr(10) || more END) AS text_md5, CAST(n AS INT) AS video_descriptions_checked
 FROM documents LEFT JOIN texts ON doc_id = conv_id""")
 def video_text_merge(spark, sf_dir):
-    item = F.struct(F.concat(F.lit("v"), F.col("turn")).alias("id"),
-                    F.struct(F.col("conv_id").cast("string").alias("channelId"), F.col("text").alias("description")).alias("snippet"))
-    raw = table(spark, sf_dir, "conversations").select(
-        F.col("turn").alias("answer_no"), F.to_json(F.struct(F.array(item).alias("items"))).alias("text"))
-    videos = video_descriptions(_answers(raw, "text", VIDEO_SCHEMA))
+    """Every turn as a video of its conversation, some without a description: the first four found are wanted."""
+    video, channel = F.concat(F.lit("v"), F.col("conv_id"), F.lit("-"), F.col("turn")), F.col("conv_id").cast("string")
+    described = F.struct(video.alias("id"), F.struct(
+        channel.alias("channelId"), F.when(F.col("turn") % 3 != 1, F.col("text")).otherwise("").alias("description")).alias("snippet"))
+    hit = F.struct(F.struct(video.alias("videoId")).alias("id"), F.struct(channel.alias("channelId")).alias("snippet"))
+    raw = table(spark, sf_dir, "conversations").select(F.col("turn").alias("answer_no"), *[
+        F.to_json(F.struct(F.array(item).alias("items"))).alias(name) for name, item in (("video", described), ("hit", hit))])
+    videos, hits = _answers(raw, "video", VIDEO_SCHEMA), search_hits(_answers(raw, "hit", SEARCH_SCHEMA))
     documents = table(spark, sf_dir, "documents")
     candidates = candidates_from(documents, ord=F.col("doc_id"), source=F.lit("YOUTUBE"), platform=F.lit("YouTube"),
                                  provider_id=F.col("doc_id").cast("string"), raw_text=F.col("text"))
-    merged = with_video_texts(candidates, videos, PARAMS.videos_per_channel)
+    merged = describe_channels(candidates, videos, hits, PARAMS.videos_per_channel)
     return merged.select(F.col("ord").alias("doc_id"), F.md5("raw_text").alias("text_md5"), "video_descriptions_checked")
 
 
@@ -134,19 +145,49 @@ def web_candidates(spark, sf_dir):
     return found.select(F.col("ord").alias("page_id"), "provider_id", "profile_url", "website", "name", "raw_text")
 
 
+@query("web_readable", f"""
+WITH {CANONICAL_SQL}
+SELECT page_id, domain AS provider_id FROM canon
+WHERE page_id % 4 IN (0, 1) OR contains(lower(left(CASE page_id % 4 WHEN 2 THEN html ELSE 'no page ' || repeat('-', 500) || html END, 500)), '<html')""")
+def web_readable(spark, sf_dir):
+    """Pages whose type says nothing are told by how they open; a page far behind other text is none."""
+    by_four = F.col("page_id") % 4
+    pages = table(spark, sf_dir, "pages").withColumns({
+        "content_type": F.when(by_four == 0, "text/html; charset=utf-8").when(by_four == 1, "Application/XHTML+xml").when(by_four == 2, "text/plain"),
+        "html": F.when(by_four == 3, F.concat(F.lit("no page "), F.repeat(F.lit("-"), 500), F.col("html"))).otherwise(F.col("html"))})
+    found = page_candidates(pages, PARAMS, provider_rank=0)
+    return found.select(F.col("ord").alias("page_id"), "provider_id")
+
+
+@query("web_socials", """
+SELECT page_id, 'https://instagram.com/u' || page_id || ',https://linkedin.com/in/u' || page_id AS links FROM pages""")
+def web_socials(spark, sf_dir):
+    """Social links of every page, behind links of its own."""
+    added = F.concat(F.lit('<a href="HTTP://www.Instagram.com/u'), F.col("page_id"), F.lit('/?utm_source=p">i</a><a href="https://linkedin.com/in/u'),
+                     F.col("page_id"), F.lit('">l</a><a href="https://instagram.com/u'), F.col("page_id"), F.lit('">again</a>'))
+    pages = stored_pages(spark, sf_dir).withColumn("html", F.concat("html", added))
+    links = social_links(page_links(F.col("html"), F.col("url")), WEB_SOCIAL_HOSTS)
+    return pages.select("page_id", F.array_join(links, ",").alias("links"))
+
+
 def _xml(text):
     safe = F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     return F.regexp_replace(safe, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
 
 
 @query("feed_candidates", """
-WITH early AS (SELECT conv_id, turn, trim(text, chr(10) || ' ') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
+WITH early AS (SELECT conv_id, turn, CASE WHEN turn % 5 = 2 THEN '' ELSE trim(text, chr(10) || ' ') END AS t,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
 SELECT conv_id, 'conv' || conv_id || '.test' AS provider_id, 'Feed ' || conv_id AS name, md5(string_agg(t, ' ' ORDER BY turn)) AS summary_md5,
        'day ' || min(turn) AS published_at FROM early WHERE rn <= 5 GROUP BY conv_id""")
 def feed_candidates_query(spark, sf_dir):
-    """Every conversation as a feed of its first ten turns (the operator reads no more entries)."""
-    turns = first_per_group(table(spark, sf_dir, "conversations"), ["conv_id"], [F.col("turn")], PARAMS.feed_entries)
-    entry = F.concat(F.lit("<item><title>"), _xml(F.col("text")), F.lit("</title><pubDate>day "), F.col("turn"), F.lit("</pubDate></item>"))
+    """Every conversation as a feed of all its turns: some without a title, some in sections of character data."""
+    turns = table(spark, sf_dir, "conversations")
+    plain = F.replace(F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""), F.lit("]]>"), F.lit("]]]]><![CDATA[>"))
+    title = (F.when(F.col("turn") % 5 == 2, "")
+             .when(F.col("turn") % 5 == 3, F.concat(F.lit("<title><![CDATA["), plain, F.lit("]]></title>")))
+             .otherwise(F.concat(F.lit("<title>"), _xml(F.col("text")), F.lit("</title>"))))
+    entry = F.concat(F.lit("<item>"), title, F.lit("<pubDate>day "), F.col("turn"), F.lit("</pubDate></item>"))
     feeds = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", entry.alias("x")))).alias("v")).select(
         F.col("conv_id").alias("pos"), F.lit("https://feeds.test/all.xml").alias("url"),
         F.concat(F.lit("<rss version='2.0'><channel><title>Feed "), F.col("conv_id"), F.lit("</title><link>http://www.Conv"), F.col("conv_id"),

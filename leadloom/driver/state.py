@@ -28,6 +28,13 @@ def _failures(events):
         F.col("event_id").alias("seq"))
 
 
+def _failures_of(events, condition, error):
+    """Some events as failures of their user."""
+    return events.filter(condition).select(
+        F.concat(F.lit("user:"), F.col("user_id")).alias("key"), error.alias("error"),
+        iso(F.col("ts")).alias("seen_at"), F.col("event_id").alias("seq"))
+
+
 _FAILURE_SQL = """
 SELECT 'lead:' || user_id || ':' || left(CAST(ts AS VARCHAR), 10) AS key, count(*) AS count,
        left('Error ' || arg_max(props, event_id), 200) AS last_error,
@@ -58,14 +65,8 @@ SELECT key, coalesce(o.n, 0) + coalesce(f.n, 0) AS count, coalesce(f.e, 'old') A
 FROM old o FULL JOIN new f USING (key)""")
 def failure_merge(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-
-    def as_failures(condition, error):
-        return events.filter(condition).select(
-            F.concat(F.lit("user:"), F.col("user_id")).alias("key"), error.alias("error"),
-            iso(F.col("ts")).alias("seen_at"), F.col("event_id").alias("seq"))
-
-    old = with_queues(failure_totals(as_failures("event_type = 'error' AND value > 30", F.lit("old"))))
-    new = failure_totals(as_failures("event_type = 'signup'", F.col("props")))
+    old = with_queues(failure_totals(_failures_of(events, "event_type = 'error' AND value > 30", F.lit("old"))))
+    new = failure_totals(_failures_of(events, "event_type = 'signup'", F.col("props")))
     return merge_failures(old, new).select("key", "count", "last_error", "in_retry", "in_dead")
 
 
