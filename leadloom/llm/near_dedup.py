@@ -1,7 +1,8 @@
 """Near-duplicates by an LSH forest over MinHash signatures, confirmed on full sets.
 
 Texts with one set of shingles are one class. Each class has ``TREES`` labels of ``DEPTH`` minimum hashes. The classes
-are sorted by label, once per tree; those that agree on the first ``SHALLOW`` hashes are a region. A region of at most
+are sorted by label, once per tree; those that agree on the first hashes of one are a region: on as many as leave a pair of
+just the wanted similarity in no region with a probability of a thousandth at most (four at 80 percent). A region of at most
 ``BLOCK`` classes is compared as a whole; in a denser one the order by the deeper hashes decides which neighbours are
 compared, so blocks hold those with the longest common prefixes. Within a block a largest spanning forest by estimated
 similarity gives the candidates: one less than classes at most, never all pairs. Candidates are confirmed on full sets and joined to components.
@@ -30,9 +31,7 @@ from pyspark.sql import functions as F
 from leadloom.llm.common import id_type, keep, map_texts, ship
 from leadloom.llm.components import components
 
-TREES, DEPTH, SHALLOW, BLOCK = 16, 8, 4, 1024
-#: similarity estimated from all hashes below which a pair is no candidate: 3.5 deviations under 0.8
-LEAST_ESTIMATE = 0.8 - 3.5 * (0.8 * 0.2 / (TREES * DEPTH)) ** 0.5
+TREES, DEPTH, BLOCK = 16, 8, 1024
 _seeds = np.random.default_rng(20240607)
 FACTORS = _seeds.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _seeds.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
@@ -69,10 +68,21 @@ def signature(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def roots(labels: np.ndarray) -> np.ndarray:
+def shallow_for(percent: int) -> int:
+    """How many first hashes make a region."""
+    return max((d for d in range(1, DEPTH) if (1 - (percent / 100) ** d) ** TREES <= 0.001), default=1)
+
+
+def least_estimate(percent: int) -> float:
+    """Similarity estimated from all hashes below which a pair is no candidate: 3.5 deviations under the wanted one."""
+    p = percent / 100
+    return p - 3.5 * (p * (1 - p) / (TREES * DEPTH)) ** 0.5
+
+
+def roots(labels: np.ndarray, shallow: int) -> np.ndarray:
     """32 bits for the region of each set in each tree."""
     mixed = np.zeros((len(labels), TREES), dtype=np.uint64)
-    for k in range(SHALLOW):
+    for k in range(shallow):
         mixed = (mixed ^ labels[:, k::DEPTH].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
     return (mixed >> np.uint64(32)).astype(np.uint32)
@@ -82,7 +92,7 @@ def set_key(own: np.ndarray) -> bytes | None:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
 
 
-def signatures(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame:
+def signatures(docs: DataFrame, width: int, shallow: int, doc_id: str, text: str) -> DataFrame:
     """``doc_id, n_shingles, key, labels, sketch, roots``.
 
     Labels are the minimum hashes tree by tree, a sketch has a byte of each, ``roots`` a hash of each tree's first ones.
@@ -92,7 +102,7 @@ def signatures(docs: DataFrame, width: int, doc_id: str, text: str) -> DataFrame
             sets = shingle_sets(texts, width)
             labels = signature(sets)
             return [rows.column(0), [len(s) for s in sets], [set_key(s) for s in sets], [v.tobytes() for v in labels.astype(">u4")],
-                    [v.tobytes() for v in (labels & 0xFF).astype(np.uint8)], [v.tobytes() for v in roots(labels)]]
+                    [v.tobytes() for v in (labels & 0xFF).astype(np.uint8)], [v.tobytes() for v in roots(labels, shallow)]]
 
         return step
 
@@ -114,8 +124,8 @@ def full_sets(docs: DataFrame, width: int, text: str) -> DataFrame:
     return map_texts(docs.select(F.col(text)), text, make, "key binary, shingles array<long>")
 
 
-def spanning_pairs(sketches: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a largest spanning forest by estimated similarity, none below ``LEAST_ESTIMATE``."""
+def spanning_pairs(sketches: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Edges of a largest spanning forest by estimated similarity, none below ``least``."""
     n, width = sketches.shape
     best, of = np.full(n, -1.0), np.zeros(n, dtype=np.int64)
     open_, at, pairs = np.ones(n, dtype=bool), 0, []
@@ -126,7 +136,7 @@ def spanning_pairs(sketches: np.ndarray) -> list[tuple[int, int]]:
         nearer = alike > best[rest]
         best[rest[nearer]], of[rest[nearer]] = alike[nearer], at
         at = int(rest[best[rest].argmax()])
-        if best[at] >= LEAST_ESTIMATE:
+        if best[at] >= least:
             pairs.append((int(of[at]), at))
     return pairs
 
@@ -141,14 +151,14 @@ def grouped(batches, columns):
         yield key, own
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
+def block_pairs(members: DataFrame, least: float) -> DataFrame:
     """Candidates ``a, b`` between neighbours of the sorted labels."""
     def run(batches):
         a, b = [], []
 
         def compare(block):
             sketches = np.frombuffer(b"".join(r[2] for r in block), np.uint8).reshape(len(block), -1)
-            for i, j in spanning_pairs(sketches):
+            for i, j in spanning_pairs(sketches, least):
                 x, y = sorted((block[i][1], block[j][1]))
                 a.append(x)
                 b.append(y)
@@ -174,6 +184,7 @@ def block_pairs(members: DataFrame) -> DataFrame:
 def rest_links(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between components of one region, one for each class and component that have any."""
     ship(members.sparkSession)
+    least = least_estimate(percent)
     held = keep(members.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key")), "regions")
     regions = (held.groupBy("node", "component").count().groupBy("node")
                .agg(F.sum("count").alias("n"), F.max("count").alias("n_main"), F.max_by("component", F.struct("count", "component")).alias("main"))
@@ -219,7 +230,7 @@ def rest_links(members: DataFrame, parts: DataFrame, sets: DataFrame, percent: i
             for row in few:
                 alike = (sketches == np.frombuffer(row[3], np.uint8)).mean(axis=1)
                 n = len(row[5])
-                open_ = ((alike >= LEAST_ESTIMATE) & (of != number.get(row[2], -1)) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                open_ = ((alike >= least) & (of != number.get(row[2], -1)) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
                          & ~(roots == np.frombuffer(row[4], np.uint32)[:tree]).any(axis=1))
                 candidates = np.flatnonzero(open_)
                 pairs.extend(linked(row, many, sizes, flat, starts, candidates[np.argsort(-alike[candidates], kind="stable")]))
@@ -241,31 +252,47 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 .select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "tested")
 
 
+def joined_components(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, component, component_id`` of the classes that have links, with the key and id of the component's first class.
+
+    The smallest id goes along in the nodes, so no component is gathered to find it.
+    """
+    nodes = classes.select("key", F.struct(F.col("first").isNull().alias("unknown"), "first", "key").alias("node"))
+    edges = (links.join(nodes.select(F.col("key").alias("a"), F.col("node").alias("u")), "a")
+             .join(nodes.select(F.col("key").alias("b"), F.col("node").alias("v")), "b").select("u", "v"))
+    return keep(components(edges, "u", "v").select(F.col("key.key").alias("key"), F.col("component.key").alias("component"),
+                                                   F.col("component.first").alias("component_id")), "components")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per input row, linked at ``percent`` of the union."""
     ship(docs.sparkSession)
-    known = keep(signatures(docs, width, doc_id, text), "signatures")
+    shallow = shallow_for(percent)
+    known = keep(signatures(docs, width, shallow, doc_id, text), "signatures")
     classes = keep(known.where("key IS NOT NULL").groupBy("key").agg(
         F.min(doc_id).alias("first"), F.first("labels").alias("labels"), F.first("sketch").alias("sketch"),
         F.first("roots").alias("roots")), "classes")
-    size, cut = DEPTH * 4, SHALLOW * 4
+    size, cut = DEPTH * 4, shallow * 4
     rows = classes.select("key", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
         "key", F.expr(f"concat(hex(substring(labels, tree * {size} + 1, {cut})), '-', tree)").alias("node"),
         F.expr(f"substring(labels, tree * {size} + {cut + 1}, {size - cut})").alias("deeper"))
     shared = keep(rows.groupBy("node").count().where("count > 1").select("node"), "regions")
     members = keep(rows.join(shared, "node").join(classes.select("key", "sketch", "roots"), "key"), "members")
     alike = members.select("key").distinct().join(classes.select("key", "first"), "key")
-    texts = docs.select(doc_id, text).join(keep(alike.select(F.col("first").alias(doc_id)).distinct(), "alike"), doc_id, "left_semi")
+    # a class is read from its first row; of classes whose rows all lack an id, from those
+    named = docs.select(doc_id, text)
+    texts = named.join(keep(alike.select(F.col("first").alias(doc_id)).distinct(), "alike"), doc_id, "left_semi").union(
+        named.where(F.col(doc_id).isNull()))
     sets = keep(full_sets(texts, width, text).where("key IS NOT NULL").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
 
-    tested = confirm(block_pairs(members), sets, percent)
-    parts = keep(components(tested.where("linked")), "components")
-    rest = keep(rest_links(members, parts, sets, percent), "rest-links")
+    tested = confirm(block_pairs(members, least_estimate(percent)), sets, percent)
+    linked = tested.where("linked").select("a", "b")
+    parts = joined_components(linked, classes)
+    rest = keep(rest_links(members, parts.select("key", "component"), sets, percent), "rest-links")
     if not rest.isEmpty():
-        parts = keep(components(tested.where("linked").select("a", "b").union(rest)), "components")
-    whole = classes.select("key", "first").join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    smallest = whole.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = keep(whole.join(smallest, "component").select("key", "component_id"), "class-ids")
-    joined = known.select(doc_id, "n_shingles", "key").join(ids, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col(doc_id)).otherwise(F.col("component_id"))
-    return joined.select(doc_id, "n_shingles", component.alias("component_id"), F.col(doc_id).eqNullSafe(component).alias("kept"))
+        parts = joined_components(linked.union(rest), classes)
+    ids = keep(classes.select("key", "first").join(parts.select("key", "component_id", F.lit(True).alias("linked")), "key", "left")
+               .select("key", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id")), "class-ids")
+    some = known.where("key IS NOT NULL").select(doc_id, "n_shingles", "key").join(ids, "key").select(doc_id, "n_shingles", "component_id")
+    none = known.where("key IS NULL").select(doc_id, "n_shingles", F.col(doc_id).alias("component_id"))
+    return some.union(none).withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id")))
