@@ -58,12 +58,12 @@ def contamination(docs, items, window=13):
                 own = phrases.get(tuple(words[k:k + n]))
                 if own:
                     hit |= set(range(k, k + n))
-                    named |= own
+                    named |= own - {"None"}
         out[doc] = (len(words), len(hit), len(named), sha(",".join(sorted(named))), bool(hit) and 20 * len(hit) >= len(words))
     return out
 
 
-def near_components(docs):
+def near_components(docs, percent=80):
     """``doc_id -> (set size, component)`` by comparing all documents that share a shingle."""
     sets = {}
     for doc, text in docs:
@@ -83,10 +83,10 @@ def near_components(docs):
 
     for doc, own in sets.items():
         # at 0.8 of the union at most a fifth of the set is missing from the other: enough to look at its rarest shingles
-        rare = sorted(own, key=lambda s: len(by_shingle[s]))[:len(own) // 5 + 1]
+        rare = sorted(own, key=lambda s: len(by_shingle[s]))[:len(own) * (100 - percent) // 100 + 1]
         for other in {o for s in rare for o in by_shingle[s] if o < doc}:
             both = len(own & sets[other])
-            if 100 * both >= 80 * (len(own) + len(sets[other]) - both):
+            if 100 * both >= percent * (len(own) + len(sets[other]) - both):
                 a, b = sorted((root(doc), root(other)))
                 parent[b] = a
     return {d: (len(s), root(d)) for d, s in sets.items()}

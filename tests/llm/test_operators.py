@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from leadloom.llm import class_model, decontaminate, fm_index, near_dedup, piece_codec, quality_model, quality_rules, rans
+from leadloom.llm import bpe, class_model, decontaminate, fm_index, near_dedup, piece_codec, quality_model, quality_rules, rans
 from leadloom.llm import substring_dedup, token_counts, token_files, toxic_spans
 from tests.llm import brute
 
@@ -74,6 +74,32 @@ def test_token_counts(docs, rows):
         assert prefixes[d]["fits"] == r["fits_chars"]
 
 
+def test_long_runs():
+    """Texts that once took quadratic time: long runs of spaces, and a long word behind several."""
+    library, table = brute.pieces(), bpe.tables(PIECES)
+    rng = random.Random(1)
+    for text in (" " * 1_000_000, "  " + "abcdefghij" * 10_000, "x" + " " * 5_000 + "word  \n   y"):
+        chunks = bpe.chunks_of(text)
+        assert [i for c in chunks for i in table.chunk_ids(c)] == library.encode(text)
+        assert sum(map(table.total, chunks)) == len(library.encode(text))
+        for chunk in chunks:
+            counts = table.counts(chunk)
+            for k in (1, len(chunk), *(rng.randrange(1, len(chunk) + 1) for _ in range(3))):
+                assert counts[k - 1] == len(table.chunk_ids(chunk[:k]))
+
+
+def test_decoding_chunk_by_chunk():
+    library, table = brute.pieces(), bpe.tables(PIECES)
+    rng = random.Random(3)
+    letters = ["a", "The", " ", "  ", "\n", "\t", "é", "▁", "　", "\x1c", "🙂", "1", "<s>", "\x00", "中"]
+    for _ in range(1500):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 25)))
+        ids = library.encode(text)
+        coded = [table.coded(c) for c in bpe.chunks_of(text)]
+        assert sum(n for n, _, _ in coded) == len(ids) and b",".join(x for _, x, _ in coded).decode() == ",".join(map(str, ids))
+        assert b"".join(x for _, _, x in coded)[1:].decode() == library.decode(ids)
+
+
 def test_pieces(docs, rows):
     library = brute.pieces()
     found = collected(piece_codec.piece_digests(docs, PIECES))
@@ -101,7 +127,7 @@ def test_token_files(spark, docs, rows):
 
 def test_rans_parts_and_damage():
     rng = np.random.default_rng(0)
-    for n in (0, 1, 63, 64, 100_001):
+    for n in (0, 1, 63, 64, 100_001, 700_000):
         tokens = rng.zipf(1.3, n).clip(0, 999).astype(np.uint32)
         tables = rans.Tables(rans.frequencies(np.bincount(tokens, minlength=1000)))
         block = rans.encode(tokens, tables)
@@ -109,7 +135,7 @@ def test_rans_parts_and_damage():
         a, b = sorted(rng.integers(0, n + 1, 2))
         assert (rans.decode(n, block, tables, a, b) == tokens[a:b]).all()
     row = dict(zip(["part", "block", "first_token", "n_tokens", "doc_ids", "doc_tokens", "lanes", "states", "words", "mark_words", "mark_states", "crc32"],
-                   token_files.pack([tokens.tobytes()], [1], 0, 0, 0, tables)))
+                   token_files.pack([tokens.tobytes()], np.dtype("<u4"), [1], 0, 0, 0, tables)))
     row["words"] = row["words"][:-1] + bytes([row["words"][-1] ^ 1])
     with pytest.raises(ValueError, match="checksum"):
         token_files.unpack(row)
@@ -135,11 +161,12 @@ def test_decontamination(spark, docs, rows, block_bytes):
     items = [(1, " ".join(whole[3].split()[10:40])), (2, "two words"), (20, whole[9].upper()), (3, None), (None, "one"), (4, ""), (2, "two words")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = collected(decontaminate.decontaminate(docs, bench, 13, shard_words=500, block_bytes=block_bytes))
-    want = brute.contamination(rows, [i for i in items if i[0] is not None])
+    want = brute.contamination(rows, items)
     for d, _ in rows:
         r = found[d]
         assert (r["n_words"], r["n_hit"], len(r["items"]), brute.sha(",".join(r["items"]))) == want[d][:4]
         assert sum(s["n"] for s in r["spans"]) == r["n_hit"]
+        assert all(a["first"] + a["n"] < b["first"] for a, b in zip(r["spans"], r["spans"][1:]))
 
 
 @pytest.mark.parametrize("width", [2, 5])
@@ -151,6 +178,29 @@ def test_near_duplicates(docs, rows, width):
     assert [d for d in (6, 7, 8) if found[d]["kept"]] == []
 
 
+def test_near_duplicates_without_ids(spark):
+    """A class whose rows all lack an id is read and linked like others; the component's id is the smallest known one."""
+    rng = random.Random(8)
+    text = [f"w{rng.randrange(500)}" for _ in range(120)]
+    changed = text[:60] + ["other"] + text[61:]
+    made = [(5, " ".join(text)), (None, " ".join(changed)), (None, " ".join(changed)), (9, " ".join(text)), (None, "alone here"), (None, None)]
+    found = near_dedup.near_duplicates(frame(spark, made), 2, 80).collect()
+    assert Counter((r["doc_id"], r["component_id"], r["kept"]) for r in found) == Counter(
+        {(5, 5, True): 1, (None, 5, False): 2, (9, 5, False): 1, (None, None, True): 2})
+
+
+def test_near_duplicates_at_other_thresholds(spark):
+    rng = random.Random(12)
+    made = []
+    for d in range(40):
+        own = [f"w{rng.randrange(3000)}" for _ in range(120)]
+        made += [(4 * d + k, " ".join(own[:120 - cut] + [f"x{d}-{k}-{i}" for i in range(cut)])) for k, cut in enumerate((0, 18, 26, 29))]
+    want = brute.near_components(made, 60)
+    found = collected(near_dedup.near_duplicates(frame(spark, made, clash=False), 2, 60))
+    assert {d: found[d]["component_id"] for d, _ in made} == {d: c for d, (_, c) in want.items()}
+    assert len({c for _, c in want.values()}) < len(made) - 60
+
+
 def test_near_duplicates_of_a_dense_region(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     rng = random.Random(3)
@@ -173,8 +223,31 @@ def test_substrings(docs, rows, dense, monkeypatch):
         assert (found[d]["n_words"], found[d]["n_removed"], found[d]["kept_sha256"]) == want
 
 
-def test_class_scores(docs, rows):
+def plain_score(model, count, words):
+    """log10 probability by the tables of the model, word by word."""
+    of, names = model.of, {w: i for w, i in model.number.items()}
+    total, before = 0.0, class_model.LAST
+    for w in words:
+        k = names.get(w.encode(), len(names))
+        in_class = count[w] / sum(count[v.decode()] for v, i in names.items() if of[i] == of[k]) if k < len(names) else (
+            (count[w] + 0.5) / 10 ** model.rare_total)
+        alone = (count[w] + 0.5) / 10 ** model.base_total
+        total += math.log10(class_model.MIXED * 10 ** model.step[before, of[k]] * in_class + (1 - class_model.MIXED) * alone)
+        before = of[k]
+    return total
+
+
+@pytest.mark.parametrize("tabled", [1 << 17, 4])
+def test_class_scores(docs, rows, tabled, monkeypatch):
+    monkeypatch.setattr(class_model, "TABLED", tabled)  # with 4, the end is rarer than the words of the table
+    monkeypatch.setattr(class_model, "CLUSTERED", 40)
     found = collected(class_model.class_scores(docs))
+    training = docs.where(class_model.fold_of("doc_id") != 1)
+    model, _ = class_model.fit(training, class_model.unigrams(training, "text").cache(), "text")
+    assert b" " in model.number and set(model.of[:-2]) <= {*range(class_model.CLASSES), class_model.LAST}  # no word is left without class
+    for c in range(class_model.ALL):  # what may follow a class has a probability of one
+        assert sum(10 ** (model.emit[i] + model.step[c, model.of[i]]) for i in range(len(model.number))) + 10 ** model.step[c, class_model.RARE] == (
+            pytest.approx(1 - sum(10 ** model.step[c, k] for k in range(class_model.ALL) if k != class_model.RARE and k not in model.of[:-2])))
     words = {d: brute.WORDS((t or "").translate(brute.UPPER)) + [" "] for d, t in rows}
     count = Counter(w for d, ws in words.items() if brute.fold(d) != 1 for w in ws)
     n, v = sum(count.values()), len(count)
@@ -182,7 +255,17 @@ def test_class_scores(docs, rows):
         r = found[d]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(ws), sum(count[w] > 0 for w in ws), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws))
-        assert r["score"] < 0
+        if len(ws) < 300:
+            assert r["score"] == pytest.approx(plain_score(model, count, ws))
+
+
+def test_classes_beat_single_words(spark, monkeypatch):
+    """Texts in three invented languages: words are in the classes of their language, also those that are not clustered."""
+    monkeypatch.setattr(class_model, "CLUSTERED", 30)
+    rng = random.Random(6)
+    made = [(d, " ".join(f"{'abc'[d % 3]}{int(rng.paretovariate(0.6)) % 300}" for _ in range(150))) for d in range(240)]
+    rows = class_model.class_scores(frame(spark, made, clash=False)).where("held_out").collect()
+    assert len(rows) > 20 and sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.25 * sum(r["n_tokens"] for r in rows)
 
 
 def test_exchange_finds_alternating_classes():
@@ -216,6 +299,25 @@ def test_trained_scores(spark):
     assert all(bool(toxic[d]["spans"]) == t for d, _, t in held)
 
 
+def test_learning_from_long_texts(spark):
+    """Labels on texts longer than the sample takes of each: chains of them are learned from."""
+    rng = random.Random(21)
+    made, labels = [], []
+    for d in range(120):
+        words = [f"w{rng.randrange(700)}" for _ in range(2500)]
+        if d % 2:
+            for k in range(0, 2500, 50):
+                words[k + rng.randrange(50)] = rng.choice(["scum", "vile"])
+        made.append((d, " ".join(words)))
+        labels.append((d, d % 2))
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = collected(toxic_spans.toxic_scores(frame(spark, made, clash=False), table, sample_bytes=4_000))
+    assert np.mean([(found[d]["score"] >= 0.5) == y for d, y in labels if brute.fold(d) == 0]) > 0.95
+    body = b" ".join(b"w%d" % k for k in range(5000))
+    part = toxic_spans.part_of(body, 3000)
+    assert 2000 < len(part) <= 3000 and part.split()[-1] not in body.split()[:2500] and toxic_spans.part_of(part, 3000) == part
+
+
 def test_marginals_of_short_chains():
     rng = np.random.default_rng(2)
     e, step = rng.normal(size=(1, 6)), rng.normal(size=(2, 2))
@@ -261,5 +363,8 @@ def test_word_ids_of_odd_texts():
              " ", "\x1c", "K", "Σ", "中", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>"]
     chosen = np.random.default_rng(5).integers(0, len(parts), (3000, 24))
     texts = ["", "word, WORD. word", *("".join(parts[k] for k in row) for row in chosen)]
-    expected = [np.array(e.ids, np.uint32).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert token_files.WordIds(WORDS).of_texts([t.encode() for t in texts]) == expected
+    words = token_files.WordIds(WORDS)
+    expected = [np.array(e.ids, words.dtype).tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert words.of_texts([t.encode() for t in texts]) == expected
+    words.MOST = 3  # the table is emptied again and again
+    assert words.of_texts([t.encode() for t in texts[:300]]) == expected[:300]
