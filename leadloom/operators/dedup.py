@@ -14,14 +14,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegralType, StringType
 
 from leadloom.functions.ids import candidate_keys
 from leadloom.operators.checkpoints import cut
 from leadloom.operators.counters import Counters
 
+#: open rows that one task finishes
+TAIL = 100_000
+
 
 def _first_holders(edges: DataFrame) -> DataFrame:
     """Keys whose earliest holder is the earliest holder of all of its keys."""
@@ -41,17 +47,42 @@ def _untouched(edges: DataFrame, taken: DataFrame) -> DataFrame:
             .filter(F.size("keys") == F.col("keys_held")).select("ord", "keys"))
 
 
+def _finished(open_rows: DataFrame) -> DataFrame:
+    """The kept ones of at most ``TAIL`` open rows, decided one after another in a task."""
+    def run(batches):
+        rows, taken, kept = [], set(), []
+        for batch in batches:
+            rows.extend(zip(batch.column("ord").to_pylist(), batch.column("keys").to_pylist()))
+        for order, keys in sorted(rows):
+            if taken.isdisjoint(keys):
+                taken.update(keys)
+                kept.append(order)
+        yield pa.RecordBatch.from_arrays([pa.array(kept, kind)], names=["ord"])
+
+    kind = to_arrow_schema(open_rows.select("ord").schema).field(0).type
+    return open_rows.select("ord", "keys").repartition(1).mapInArrow(run, open_rows.select("ord").schema)
+
+
 def kept_orders(rows: DataFrame) -> DataFrame:
-    """Orders kept among ``rows(ord, keys)``; ``ord`` is unique, ``keys`` are distinct."""
+    """Orders kept among ``rows(ord, keys)``; ``ord`` is unique, ``keys`` are distinct.
+
+    After the first round a tail of at most ``TAIL`` open rows is finished at once, so long chains of conflicts among few
+    rows do not cost a round for each of their links.
+    """
     kept = rows.filter(F.size("keys") == 0).select("ord")
     open_rows = cut(rows.filter(F.size("keys") > 0)
                     .groupBy(F.array_sort("keys").alias("keys")).agg(F.min("ord").alias("ord")))
-    while not open_rows.isEmpty():
+    plain = isinstance(rows.schema["ord"].dataType, (IntegralType, StringType))  # sorted alike in Python
+    left, rounds = open_rows.count(), 0
+    while left:
+        if plain and rounds and left <= TAIL:
+            return kept.unionAll(cut(_finished(open_rows)))
         edges = open_rows.select(
             "ord", F.size("keys").alias("keys_held"), F.explode("keys").alias("key"))
         taken = cut(_first_holders(edges))
         kept = kept.unionAll(taken.select("ord").distinct())
         open_rows = cut(_untouched(edges, taken))
+        left, rounds = open_rows.count(), rounds + 1
     return kept
 
 

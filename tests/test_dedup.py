@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
+from leadloom.operators import dedup
 from leadloom.operators.dedup import dedup_by_keys, dedup_candidates, first_per_key
 from leadloom.operators.order import circular_batch, first_per_group, with_position
 from leadloom.schemas import candidates_from
@@ -25,7 +26,9 @@ def spark_kept(spark, rows):
     return sorted(r.ord for r in dedup_by_keys(df, "ord", F.col("keys")).select("ord").collect())
 
 
-def test_same_as_sequential_rule(spark):
+@pytest.mark.parametrize("tail", [0, 40, 100_000])
+def test_same_as_sequential_rule(spark, monkeypatch, tail):
+    monkeypatch.setattr(dedup, "TAIL", tail)  # rounds only, rounds and a tail, a tail after the first round
     rng = random.Random(11)
     for size, pool in [(60, 20), (300, 120), (300, 500), (2000, 900)]:
         rows = [(i, [f"k{rng.randrange(pool)}" for _ in range(rng.randint(0, 3))]) for i in range(size)]
@@ -33,9 +36,17 @@ def test_same_as_sequential_rule(spark):
         assert spark_kept(spark, rows) == one_by_one(rows)
 
 
-def test_chain_of_conflicts(spark):
-    rows = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(17)]
-    assert spark_kept(spark, rows) == one_by_one(rows) == list(range(0, 17, 2))
+def test_chain_of_conflicts(spark, monkeypatch):
+    rows = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(10_000)]
+    context = spark.sparkContext
+    context.setJobGroup("chain", "a long chain")
+    try:
+        assert spark_kept(spark, rows) == list(range(0, 10_000, 2))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("chain")) < 40
+    monkeypatch.setattr(dedup, "TAIL", 0)
+    assert spark_kept(spark, rows[:17]) == one_by_one(rows[:17]) == list(range(0, 17, 2))
 
 
 def test_keys_of_unequal_weight(spark):
