@@ -10,11 +10,12 @@ crosses these borders, so chunks are independent and repeated ones are looked up
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import ahocorasick
 import sentencepiece
 
+from leadloom.llm.common import of_stage
+
 SPACE = "▁"
 CHUNKS = re.compile(r"▁*[^▁\n]+|▁+|\n").findall
 CACHED_CHUNKS, CACHED_LENGTH = 400_000, 48  # about 100 bytes each, and the value
@@ -190,15 +191,13 @@ def chunks_of(text: str) -> list[str]:
     return CHUNKS(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-@lru_cache(maxsize=2)
 def tables(model_file: str) -> PrefixTables:
-    return PrefixTables(model_file)
+    return of_stage(("tables", model_file), lambda: PrefixTables(model_file))
 
 
-@lru_cache(maxsize=4)
 def cached(model_file: str, what: str, most: int) -> "Cached":
-    """The values of a method of the tables by chunk, known to all tasks of a worker."""
-    return Cached(getattr(tables(model_file), what), most)
+    """The values of a method of the tables by chunk, known to all tasks of a stage in a worker."""
+    return of_stage((what, model_file, most), lambda: Cached(getattr(tables(model_file), what), most))
 
 
 class Cached(dict):

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,21 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, environment.get("PYTHONPATH", "")) if x)
 
 
+_held: dict = {"stage": None}
+
+
+def of_stage(key, make: Callable):
+    """``make()``, once for all tasks of a stage that run in one worker; a task of another stage lets go what was held."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if _held["stage"] != stage:
+        _held.clear()
+        _held["stage"] = stage
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
 def map_texts(df: DataFrame, text: str, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Rows that ``make()(slice, texts)`` returns for each slice; ``texts`` are UTF-8 bytes, null as empty.
 
@@ -60,6 +76,7 @@ def map_texts(df: DataFrame, text: str, make: Callable[[], Callable], schema: st
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
+        of_stage("", dict)
         step = make()
         for batch in batches:
             if not batch.num_rows:

@@ -19,7 +19,6 @@ import json
 import math
 import os
 import re
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.common import id_type, keep, map_texts
+from leadloom.llm.common import id_type, keep, map_texts, of_stage
 
 words_of = re.compile(r"(?<=\S) (?=\S)").split
 BATCH_BYTES, PART_WORDS = 1 << 20, 1 << 15
@@ -105,10 +104,9 @@ class Sides:
         return found
 
 
-@lru_cache(maxsize=1)
 def both_sides(byte_file: str, piece_file: str) -> Sides:
-    """Loaded once in a worker: tasks that follow find its cache of words."""
-    return Sides(byte_file, piece_file)
+    """Loaded once for the tasks of a stage in a worker: those that follow find its cache of words."""
+    return of_stage(("sides", byte_file, piece_file), lambda: Sides(byte_file, piece_file))
 
 
 def align(sides: Sides, parts: list[list[tuple]]) -> list[tuple]:

@@ -14,7 +14,6 @@ import string
 import uuid
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm import rans
-from leadloom.llm.common import checkpoint_dir, id_type, keep, map_texts, ship
+from leadloom.llm.common import checkpoint_dir, id_type, keep, map_texts, of_stage, ship
 
 BLOCK_TOKENS = 1 << 20
 PUNCTUATION = string.punctuation.encode()
@@ -97,10 +96,9 @@ class WordIds(dict):
         return [b"".join(map(self.__getitem__, self.words(t))) for t in texts]
 
 
-@lru_cache(maxsize=1)
 def word_ids(tokenizer_file: str) -> WordIds:
-    """Loaded once in a worker: tasks that follow find its words."""
-    return WordIds(tokenizer_file)
+    """Loaded once for the tasks of a stage in a worker: those that follow find its words."""
+    return of_stage(("words", tokenizer_file), lambda: WordIds(tokenizer_file))
 
 
 def encode_ids(docs: DataFrame, tokenizer_file: str, end_id: int, doc_id: str, text: str) -> DataFrame:
