@@ -23,38 +23,58 @@ def _whole_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*docs.columns).alias("row"), "text")
 
 
+def _named_rows(docs: DataFrame) -> DataFrame:
+    """``row, name, text``: a name that only equal rows share; names of known ids come first, in their order."""
+    every = [F.col(c) for c in docs.columns]
+    name = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", F.xxhash64(*every).alias("h1"),
+                    F.xxhash64(F.lit(1), *every).alias("h2"))
+    return docs.select(F.struct(*docs.columns).alias("row"), name.alias("name"), "text")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject: scores of 0.3 and more. Every row is scored, null texts as empty."""
     labels = table(spark, sf_dir, "labels")
     forest = quality_model.fit(docs, labels.where(fold_of("doc_id") != 0), "quality")
     return quality_model.score(_whole_rows(docs), forest, "row").where("score >= 0.3").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest id."""
-    kept = near_dedup.near_duplicates(docs, width=5, percent=80).where("kept").select(F.col("doc_id").alias("id")).distinct()
-    return (docs.join(keep(kept, "kept-ids"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-            .dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    """One document of each group of near-duplicates: that of the smallest id.
+
+    Rows without id are judged one by one, and stay behind rows with one. Of rows that are equal in all columns one stays;
+    empty and null texts have no duplicates beyond that.
+    """
+    rows = _named_rows(docs)
+    kept = near_dedup.near_duplicates(rows, width=5, percent=80, doc_id="name").where("kept").select("name").distinct()
+    return rows.drop("text").join(keep(kept, "kept-names"), "name", "left_semi").dropDuplicates(["name"]).select("row.*")
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that occur elsewhere; a changed text is its kept words joined by one space."""
+    """Documents without passages that occur elsewhere; a changed text is its kept words joined by one space.
+
+    Every row stays. A text without such passages, null ones too, stays as it is; ``n_chars``, if there is one, follows the text.
+    """
     cut = substring_dedup.substring_dedup(docs, window=35).where("kept_text IS NOT NULL").select("link", "kept_text")
     cut = keep(cut.dropDuplicates(["link"]), "cut-texts")
-    linked = docs.withColumn("link", F.xxhash64("doc_id", "text")).join(cut, "link", "left")
-    changed = F.col("kept_text").isNotNull()
-    return linked.withColumns({"n_chars": F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")),
-                               "text": F.coalesce("kept_text", "text")}).select(*docs.columns)
+    linked = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", "text").alias("link")).join(cut, "link", "left")
+    old = {c: F.col("row").getField(c) for c in docs.columns}
+    new = old | {"text": F.coalesce("kept_text", old["text"])}
+    if "n_chars" in old:
+        new["n_chars"] = F.coalesce(F.length("kept_text").cast(docs.schema["n_chars"].dataType), old["n_chars"])
+    return linked.select(*[new[c].alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
+    """Documents that are not contaminated by benchmark items: less than a twentieth of their words is hit.
+
+    Texts without words are clean; without benchmark items every row stays.
+    """
     found = dc.decontaminate(_whole_rows(docs), table(spark, sf_dir, "benchmark"), 13, doc_id="row")
     return found.where(~dc.contaminated()).select("row.*")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the remaining texts and the texts decoded from them, as digests."""
+    """Token ids of the remaining texts and the texts decoded from them, as digests: a row for each row, null texts as empty."""
     return piece_codec.piece_digests(docs, tokenizer("piece_bpe_32k.model"))
 
 
