@@ -6,13 +6,15 @@ rounds: a row that is the earliest holder of all its keys is kept, every row sha
 is dropped, and the rest goes on. Each round decides at least the earliest row left, so the rounds
 end without a cap.
 
-Only ``(order, keys)`` takes part. Per key there is a minimum, which combines before the shuffle, and
-a join against at most one row per key. Rows with the same set of keys are first reduced to the earliest one, since the others can never be kept.
+Only ``(order, keys)`` takes part, with a number for each key. Per key there is a minimum, which combines before the shuffle,
+and a join against at most one row per key. The rows themselves are written once, so what made them is not run again. Numbers are
+hashes, and it is checked that no two keys share one; another seed is taken else.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,11 +24,28 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegralType, StringType
 
 from leadloom.functions.ids import candidate_keys
-from leadloom.operators.checkpoints import cut
+from leadloom.operators.checkpoints import let_go, written
 from leadloom.operators.counters import Counters
 
 #: open rows that one task finishes
 TAIL = 100_000
+#: taken keys of a round that every task may hold
+BROADCAST = 1 << 20
+
+
+def _number(key: Column, seed: int) -> Column:
+    return F.xxhash64(key, F.lit(seed))
+
+
+def _numbers(seed: int = 0) -> Column:
+    """A number in place of each key in ``_keys``."""
+    return F.transform("_keys", lambda key: _number(key, seed))
+
+
+def _clash(listed: DataFrame, seed: int) -> bool:
+    """Whether two keys have one number."""
+    pairs = listed.select(F.explode("_keys").alias("key")).select("key", _number(F.col("key"), seed).alias("number")).distinct()
+    return not pairs.groupBy("number").count().where("count > 1").isEmpty()
 
 
 def _first_holders(edges: DataFrame) -> DataFrame:
@@ -37,14 +56,17 @@ def _first_holders(edges: DataFrame) -> DataFrame:
     return per_key.withColumn("won", won).filter("won = keys_held").select("key", "ord")
 
 
-def _untouched(edges: DataFrame, taken: DataFrame) -> DataFrame:
-    """Rows none of whose keys is taken, again as ``(ord, keys)``.
+def _untouched(open_rows: DataFrame, taken: DataFrame, n_taken: int, most_keys: int) -> DataFrame:
+    """Rows none of whose keys is taken: one join for each place in ``keys``, rows with fewer keys ask for their first again.
 
-    Both sides are shuffled as they are read from checkpoints, so a hot key's partition can be split.
+    A small set of taken keys is broadcast, a large one hashed in parts; a hot key's partition can be split.
     """
-    free = edges.join(taken.select("key"), "key", "left_anti")
-    return (free.groupBy("ord", "keys_held").agg(F.collect_list("key").alias("keys"))
-            .filter(F.size("keys") == F.col("keys_held")).select("ord", "keys"))
+    free, keys = open_rows, taken.select(F.col("key").alias("taken"))
+    keys = F.broadcast(keys) if n_taken <= BROADCAST else keys.hint("shuffle_hash")
+    for i in range(most_keys):
+        free = free.withColumn("asked", F.coalesce(F.get("keys", F.lit(i)), F.get("keys", F.lit(0))))
+        free = free.join(keys, F.col("asked") == F.col("taken"), "left_anti").drop("asked")
+    return free
 
 
 def _finished(open_rows: DataFrame) -> DataFrame:
@@ -64,24 +86,26 @@ def _finished(open_rows: DataFrame) -> DataFrame:
 
 
 def kept_orders(rows: DataFrame) -> DataFrame:
-    """Orders kept among ``rows(ord, keys)``; ``ord`` is unique, ``keys`` are distinct.
+    """Orders kept among stored ``rows(ord, keys)``; ``ord`` is unique, ``keys`` are distinct.
 
     After the first round a tail of at most ``TAIL`` open rows is finished at once, so long chains of conflicts among few
     rows do not cost a round for each of their links.
     """
     kept = rows.filter(F.size("keys") == 0).select("ord")
-    open_rows = cut(rows.filter(F.size("keys") > 0)
-                    .groupBy(F.array_sort("keys").alias("keys")).agg(F.min("ord").alias("ord")))
+    open_rows = rows.filter(F.size("keys") > 0)
     plain = isinstance(rows.schema["ord"].dataType, (IntegralType, StringType))  # sorted alike in Python
-    left, rounds = open_rows.count(), 0
+    left, most_keys = open_rows.agg(F.count(F.lit(1)), F.max(F.size("keys"))).first()
+    rounds = 0
     while left:
         if plain and rounds and left <= TAIL:
-            return kept.unionAll(cut(_finished(open_rows)))
+            return kept.unionAll(written(_finished(open_rows)))
         edges = open_rows.select(
             "ord", F.size("keys").alias("keys_held"), F.explode("keys").alias("key"))
-        taken = cut(_first_holders(edges))
+        taken = written(_first_holders(edges))
         kept = kept.unionAll(taken.select("ord").distinct())
-        open_rows = cut(_untouched(edges, taken))
+        decided, open_rows = open_rows, written(_untouched(open_rows, taken, taken.count(), most_keys))
+        if rounds:
+            let_go(decided)
         left, rounds = open_rows.count(), rounds + 1
     return kept
 
@@ -89,17 +113,16 @@ def kept_orders(rows: DataFrame) -> DataFrame:
 def dedup_by_keys(df: DataFrame, order: str, keys: Column, counters: Counters | None = None) -> DataFrame:
     """Rows of ``df`` that survive the ordered dedup; ``order`` names a unique sortable column.
 
-    A repeated order is an error: two rows with one order would be taken for one row with the keys of both. ``counters``
-    are taken of the rows of ``df``.
+    A repeated order is an error: two rows with one order would be taken for one row with the keys of both. Null is no key,
+    and a row without order or list of keys is not kept. ``counters`` are taken of the rows of ``df``.
     """
-    listed = df.select(F.col(order).alias("ord"), F.array_distinct(keys).alias("keys"))
-    if counters is not None:
-        listed = counters.of(listed)
-    repeated = F.raise_error(F.concat(F.lit("dedup: order repeated: "), F.col("ord").cast("string"))).cast(listed.schema["keys"].dataType)
-    rows = (listed.groupBy("ord").agg(F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n"))
-            .select("ord", F.when(F.col("n") > 1, repeated).otherwise(F.col("keys")).alias("keys")))
-    kept = kept_orders(rows).withColumnRenamed("ord", order)
-    return df.join(kept, order, "left_semi")
+    listed = df.withColumn("_keys", F.array_compact(F.array_distinct(keys))).withColumn("_numbers", _numbers())
+    listed = written(listed if counters is None else counters.of(listed)).withColumn("ord", F.col(order))
+    repeated = F.raise_error(F.concat(F.lit("dedup: order repeated: "), F.col("ord").cast("string")))
+    listed.groupBy("ord").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.when(F.col("n") > 1, repeated))).collect()
+    seed = next(s for s in count() if not _clash(listed, s))
+    rows = listed.where("ord IS NOT NULL").select("ord", (_numbers(seed) if seed else F.col("_numbers")).alias("keys"))
+    return listed.select(*df.columns).join(kept_orders(rows).withColumnRenamed("ord", order), order, "left_semi")
 
 
 def dedup_candidates(candidates: DataFrame, *, provider: bool = True, domain: bool = True,

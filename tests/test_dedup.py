@@ -90,3 +90,29 @@ def test_first_rows_per_group(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     assert first_per_group(df, ["g"], [F.col("v")], 2).count() == 6
     assert sorted((r.g, r.v) for r in first_per_key(df, ["g"], F.col("v")).collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_numbers_of_keys_that_clash(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "_number", lambda key, seed: F.xxhash64(key, F.lit(seed)) % (1 << 60 if seed else 7))
+    rng = random.Random(12)
+    rows = [(i, [f"k{rng.randrange(90)}" for _ in range(rng.randint(0, 3))]) for i in range(200)]
+    assert spark_kept(spark, rows) == one_by_one(rows)
+
+
+def test_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def key(number):
+        made.add(1)
+        return f"k{number // 3}"
+
+    rows = spark.range(300).select(F.col("id").alias("ord"), F.udf(key)("id").alias("key"))
+    assert dedup_by_keys(rows, "ord", F.array("key")).count() == 100 and made.value == 300
+
+
+def test_large_sets_of_taken_keys(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BROADCAST", 0)
+    monkeypatch.setattr(dedup, "TAIL", 0)
+    rng = random.Random(13)
+    rows = [(i, [f"k{rng.randrange(150)}" for _ in range(rng.randint(0, 4))] + [None] * rng.randint(0, 1)) for i in range(500)]
+    assert spark_kept(spark, rows) == one_by_one([(i, [k for k in keys if k]) for i, keys in rows])
