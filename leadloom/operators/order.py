@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadloom.operators.checkpoints import cut
+from leadloom.operators.checkpoints import written
 
 
 def arrival(provider_rank: int, position: Column) -> Column:
@@ -24,8 +24,8 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "pos") ->
     Rows are range-partitioned and sorted once; positions are the offset of the partition plus the
     row number inside it, so no task sees more than one range.
     """
-    ranged = cut(df.orderBy(*order).withColumn("_part", F.spark_partition_id())
-                 .withColumn("_row", F.monotonically_increasing_id()))
+    ranged = written(df.orderBy(*order).withColumn("_part", F.spark_partition_id())
+                     .withColumn("_row", F.monotonically_increasing_id()))
     start = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     # one row per partition of the sort: bounded by the partition number, not by the data

@@ -13,7 +13,7 @@ from leadloom.functions.qualification import score_candidates
 from leadloom.functions.text import blank, filled
 from leadloom.functions.urls import canonical_domain
 from leadloom.operators.best import best_emails
-from leadloom.operators.checkpoints import cut
+from leadloom.operators.checkpoints import cut, written
 from leadloom.operators.counters import Counters
 from leadloom.operators.dedup import dedup_candidates
 from leadloom.operators.match import find_profiles, split_by_cache
@@ -80,7 +80,9 @@ def _answers(leads: DataFrame, inputs: Inputs, params: Params) -> tuple[DataFram
     """Leads with profile columns, and the new cache rows of this run."""
     spark = leads.sparkSession
     cache = inputs.cache if inputs.cache is not None else spark.createDataFrame([], CACHE_DDL)
-    looked = cut(split_by_cache(leads, cache, params))
+    # written before the search for frequent addresses, so that what made the leads runs once; texts have been scored by now
+    named = written(leads.drop("raw_text", "signals"))
+    looked = split_by_cache(named, cache, params)
     open_leads = looked.filter((F.col("email") != "") & ~F.col("fresh"))
     if inputs.results is None:
         found = spark.createDataFrame([], "lead_id STRING, url STRING, status STRING, query STRING, confidence DOUBLE")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.constants import VERIFIED
-from leadloom.operators.checkpoints import cut
+from leadloom.operators.checkpoints import cut, written
 from leadloom.operators.counters import Counters
 from leadloom.operators.order import last_rows
 from leadloom.operators.state import FAILURE_DDL, failure_totals, first_seen, merge_failures
@@ -128,11 +128,10 @@ def run(spark: SparkSession, runs: Runs, inputs: Inputs, params: Params, *, run_
     result = harvest(replace(inputs, cache=cache), params)
     in_leads = Counters(emails_found=F.count_if(F.col("email") != ""), verified_emails=F.count_if(F.col("email_status") == VERIFIED))
     looked = Counters(instagram_lookups=F.count(F.lit(1)), instagram_found=F.count_if(F.col("url") != ""))
-    leads = cut(in_leads.of(result.leads))
-    counts = merge_store(spark, runs.leads, leads, params, version, before.get("leads", -1))
+    counts = merge_store(spark, runs.leads, in_leads.of(result.leads), params, version, before.get("leads", -1))
     tables["leads"] = version
-    answers = cut(looked.of(result.answers))
-    processed = cut(result.processed)
+    answers = written(looked.of(result.answers))
+    processed = written(result.processed)
 
     def changed(name: str, rows: DataFrame) -> None:
         runs.state(name).upsert(spark, rows, version, before.get(name, -1))

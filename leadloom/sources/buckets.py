@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.operators.checkpoints import cut
+from leadloom.operators.checkpoints import written
 
 MANIFEST_DDL = "bucket INT, data_version BIGINT, n_rows BIGINT, n_marked BIGINT, n_buckets INT"
 
@@ -91,15 +91,21 @@ class Keyed:
         """Write ``rows``, all that is in the ``touched`` buckets now, and commit; returns the rows of the table."""
         spark = rows.sparkSession
         columns, buckets = self.columns(spark), held[0].n_buckets if held else self.buckets
+        if touched is not None and not touched:  # no bucket changes: the version is its manifest alone
+            return self.commit(spark, [tuple(r) for r in held], version, buckets)
         name = "write_" + hashlib.md5(f"{self.base} {version}".encode()).hexdigest()
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # of an attempt that was lost; the files of an external table stay
         (rows.select(*columns, self.bucket_of(held)).write.format("parquet").mode("overwrite").partitionBy("bucket")
          .bucketBy(buckets, self.key).option("path", f"{self.base}/data/version={version}").saveAsTable(name))
-        written = spark.table(name).groupBy("bucket").agg(
+        counted = spark.table(name).groupBy("bucket").agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.expr(self.marked)).alias("marked")).collect()
         spark.sql(f"DROP TABLE {name}")
         kept = [tuple(r) for r in held if touched is not None and r.bucket not in touched]
-        listed = kept + [(r.bucket, version, r.n, r.marked, buckets) for r in written]
+        return self.commit(spark, kept + [(r.bucket, version, r.n, r.marked, buckets) for r in counted], version, buckets)
+
+    def commit(self, spark: SparkSession, held: list[tuple], version: int, buckets: int) -> int:
+        """Write the manifest of a version; returns the rows of the table."""
+        listed = list(held)
         listed.append((-1, version, 0, 0, buckets))  # a version without rows is a version, too
         (spark.createDataFrame(listed, MANIFEST_DDL).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.base}/manifest/version={version}"))
@@ -111,7 +117,7 @@ class Keyed:
         The change is made to version ``after``, the one before; so a repeated change names its version again.
         """
         version, held = self.start(spark, version, after)
-        batch = cut(rows.select(*self.columns(spark)).where(F.col(self.key).isNotNull()))
+        batch = written(rows.select(*self.columns(spark)).where(F.col(self.key).isNotNull()))
         touched = self.touched_by(batch, held)
         old = self.read_held(spark, held, touched).drop("bucket")
         rest = [c for c in old.columns if c != self.key]

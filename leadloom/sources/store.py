@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.constants import VERIFIED
-from leadloom.operators.checkpoints import cut
+from leadloom.operators.checkpoints import written
 from leadloom.operators.counters import Counters
 from leadloom.operators.merge import merge_leads, unique_stored, verified_only
 from leadloom.params import Params
@@ -49,7 +49,7 @@ def merge_store(spark: SparkSession, store: Keyed, leads: DataFrame, params: Par
     The batch is merged into version ``after``, the one before; so a repeated run names its version again.
     """
     version, held = store.start(spark, version, after)
-    batch = cut(verified_only(leads) if params.email_first else leads)
+    batch = written(verified_only(leads) if params.email_first else leads)
     touched = store.touched_by(batch, held)
     if params.email_first:  # a run of this mode also prunes what is stored
         touched |= {r.bucket for r in held if r.n_marked}

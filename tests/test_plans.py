@@ -193,3 +193,21 @@ def test_stream_of_failures(spark, tmp_path):
     assert run() == {"a": (2, "e2", False), "b": (1, "f", False)}
     add("2.json", [("a", "e3", "t4", 4)])
     assert run() == {"a": (3, "e3", True), "b": (1, "f", False)}
+
+
+def test_candidates_are_made_and_read_for_addresses_once(spark, monkeypatch):
+    from leadloom.plans import harvest as plan
+
+    made, read, best = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), plan.best_emails
+
+    def seen(counter):
+        def count_row(text):
+            counter.add(1)
+            return text
+        return F.udf(count_row)
+
+    monkeypatch.setattr(plan, "best_emails", lambda *given: best(*given).withColumn("email", seen(read)("email")))
+    given = inputs(spark)
+    n = given.candidates.count()
+    result = plan.harvest(plan.Inputs(given.candidates.withColumn("raw_text", seen(made)("raw_text"))), P)
+    assert result.leads.count() == result.processed.count() == read.value > 0 and made.value == n

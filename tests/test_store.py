@@ -93,3 +93,13 @@ def test_no_leads(spark, tmp_path):
     store = lead_store(str(tmp_path / "store"))
     nothing = spark.createDataFrame([], LEADS_DDL.replace("place ARRAY<BIGINT>", "ord BIGINT"))
     assert merge_store(spark, store, nothing, P)["total_leads"] == 0 and store.read(spark).count() == 0
+
+
+def test_change_without_rows_is_a_manifest(spark, tmp_path):
+    table = Keyed(str(tmp_path / "t"), "id STRING, n BIGINT", "id", 4)
+    nothing = spark.createDataFrame([], table.ddl)
+    assert table.upsert(spark, nothing) == 0 and table.read(spark).collect() == [] and table.newest(spark) == 0
+    assert table.upsert(spark, spark.createDataFrame([("a", 1), ("b", 2)], table.ddl)) == 2
+    assert table.upsert(spark, nothing) == 2 and table.newest(spark) == 2
+    assert sorted(tuple(r) for r in table.read(spark).collect()) == [("a", 1), ("b", 2)]
+    assert sorted(p.name for p in (tmp_path / "t" / "data").iterdir()) == ["version=1"]
