@@ -13,7 +13,7 @@ from leadloom.driver.adapters import (
 from leadloom.driver.registry import query, table
 from leadloom.driver.sources import VISIT_PARAMS, _visit_rounds, linked_pages
 from leadloom.driver.state import NOW, _cache, _failures_of
-from leadloom.operators.checkpoints import checkpoint_dir
+from leadloom.operators.checkpoints import checkpoint_dir, written
 from leadloom.operators.order import with_position
 from leadloom.operators.state import first_seen
 from leadloom.params import Params
@@ -29,6 +29,7 @@ from leadloom.streaming.incremental import read_candidate_stream, stream_leads
 from leadloom.streaming.lookups import read_lookups, stream_lookups
 
 BUCKETS = 8  # of the small tables of these queries
+SET_FILES = 4  # of a set of candidate files
 
 
 def _folder(spark, name):
@@ -81,9 +82,9 @@ SELECT name, website, niche, country, language, followers, CAST(score AS INT) AS
 def stream_leads_query(spark, sf_dir):
     """Candidate files as batches of a stream, then all of them again by a stream with a fresh checkpoint."""
     work = _folder(spark, "stream-leads")
-    candidates = _own_sites(spark, sf_dir).withColumn("file", F.col("ord") % 3)
-    for k in range(3):  # three sets of files, whose candidates are numbered alike
-        (candidates.where(F.col("file") == k).drop("file").withColumn("ord", F.floor(F.col("ord") / 3))
+    candidates = written(_own_sites(spark, sf_dir).withColumn("file", F.col("ord") % 3))
+    for k in range(3):  # three sets of files, whose candidates are numbered alike; their number does not depend on the cluster
+        (candidates.where(F.col("file") == k).drop("file").withColumn("ord", F.floor(F.col("ord") / 3)).repartition(SET_FILES)
          .write.mode("append").parquet(f"{work}/in"))
     runs, schema = Runs(f"{work}/tables", BUCKETS), candidates.drop("file").schema
     stream_leads(read_candidate_stream(spark, f"{work}/in", schema, 4), runs, f"{work}/first", PARAMS)

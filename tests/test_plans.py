@@ -195,6 +195,34 @@ def test_stream_of_failures(spark, tmp_path):
     assert run() == {"a": (3, "e3", True), "b": (1, "f", False)}
 
 
+def _customers(spark, base, n):
+    """Tables of the run queries with ``n`` customers."""
+    ids = spark.range(n)
+    ids.select(F.col("id").alias("c_custkey"), F.concat(F.lit("c"), "id").alias("c_name"), F.lit(1).alias("c_nationkey"),
+               F.lit(900.0).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment")).write.parquet(f"{base}/customer.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'NATION_1' AS n_name, 1 AS n_regionkey").write.parquet(f"{base}/nation.parquet")
+    ids.select(F.col("id").alias("o_custkey"), F.lit("2001-07-30").cast("timestamp_ntz").alias("o_orderdate")).write.parquet(f"{base}/orders.parquet")
+    ids.select(F.col("id").alias("doc_id"), F.lit("that with").alias("text"), F.lit("en").alias("lang"),
+               F.lit("web").alias("source")).write.parquet(f"{base}/documents.parquet")
+
+
+def test_batches_do_not_grow_with_the_partitions(spark, tmp_path, monkeypatch):
+    from leadloom.driver import runs as queries
+
+    _customers(spark, tmp_path, 60)
+    batches, read = [], queries.stream_leads
+    monkeypatch.setattr(queries, "stream_leads", lambda *given: read(*given, after=lambda row: batches.append(row["candidates_found"])))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(held, ("9", "false", "-1")):
+            spark.conf.set(k, v)
+        assert queries.stream_leads_query(spark, str(tmp_path)).count() == 60
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(batches) == 4 and sum(batches[:3]) == batches[3] == 60
+
+
 def test_candidates_are_made_and_read_for_addresses_once(spark, monkeypatch):
     from leadloom.plans import harvest as plan
 
