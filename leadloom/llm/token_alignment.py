@@ -1,13 +1,14 @@
 """Alignment of two tokenizers over the bytes of each text, by ``pandas.merge_asof``.
 
-Each token is a range of bytes. Within a batch, keyed by document, the start of every token finds the token of the other side
-that covers it; the pairs of both directions together are all overlaps. Overlapping tokens of equal ends are links, and their
-ends cut a document into groups. How often an id pair is linked is counted over all documents: the counts of the most frequent
+Each token is a range of bytes. Within a batch of words the start of every token finds the token of the other side that covers
+it; the pairs of both directions together are all overlaps. Overlapping tokens of equal ends are links, and their ends cut a
+document into groups. How often an id pair is linked is counted over all documents: the counts of the most frequent
 pairs (``FREQUENT`` at most, chosen by a histogram) are broadcast, those of all others are joined, and no pair among these is
 held by many rows.
 
 Both tokenizers begin a new token at a single space between two characters that are not white space, so each text is encoded
-word by word from a bounded cache, and a very long one is aligned in parts. Texts that are null, empty, or that either side
+and aligned word by word: a bounded cache holds the alignment of each word, a document's is the sum of its words', and that of a
+very long one is added up in parts. Texts that are null, empty, or that either side
 does not give back byte by byte have no tokens: zeros and an empty digest. Every row is a document of its own, also of a
 repeated or null id; an empty table gives no rows; further columns are not read.
 """
@@ -19,6 +20,7 @@ import json
 import math
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from leadloom.llm.common import id_type, keep, map_texts, of_stage
 
 words_of = re.compile(r"(?<=\S) (?=\S)").split
-BATCH_BYTES, PART_WORDS = 1 << 20, 1 << 15
+BATCH_BYTES, BATCH_WORDS, PART_WORDS, RUN_WORDS = 1 << 20, 1 << 14, 1 << 15, 64
 CACHED_WORDS, CACHED_LENGTH, FREQUENT = 400_000, 40, 1 << 17
 STEPS = 8  # of the histogram, for each doubling of a count
 
@@ -61,68 +63,106 @@ class Sides:
         pieces = ((self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.vocab_size()))
         self.bytes_b = [bytes([int(p[3:5], 16)]) if is_byte else p.replace("▁", " ").encode() for p, is_byte in pieces]
         self.size_a, self.size_b = np.array([*map(len, self.bytes_a)]), np.array([*map(len, self.bytes_b)])
+        self.wide = np.int32 if len(self.bytes_a) * len(self.bytes_b) < 1 << 31 else np.int64  # holds a pair of ids
         # how each id is written, followed by what stands behind it inside and at the end of a group
-        self.written_a = np.array([f"{i}{end}" for i in range(len(self.bytes_a)) for end in ",|"], dtype=object)
-        self.written_b = np.array([f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"], dtype=object)
+        self.written_a = np.array([f"{i}{end}".encode() for i in range(len(self.bytes_a)) for end in ",|"], dtype=object)
+        self.written_b = np.array([f"{i}{end}".encode() for i in range(len(self.bytes_b)) for end in ",;"], dtype=object)
         self.cache: dict[str, tuple | None] = {}
 
-    def encoded(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """For each word its ids of either side as 32-bit integers; None if a side does not give its bytes back."""
+    def ids_a(self, words: list[str], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words behind a space and how many each has. Words are encoded in runs, cut where one has white space at an end."""
+        edged = [k for k, w in enumerate(words) if w[0].isspace() or w[-1].isspace()]
+        starts = sorted({*range(0, len(words), RUN_WORDS), *edged, *[k + 1 for k in edged if k + 1 < len(words)]})
+        runs = [" " + " ".join(words[i:j]) for i, j in zip(starts, [*starts[1:], len(words)])]
+        # encode_batch without offsets
+        flat, _ = flattened([x.ids for x in self.a.encode_batch_fast(runs, add_special_tokens=False)])
+        total, ends = np.cumsum(self.size_a[flat]), np.cumsum(sizes)
+        last = np.searchsorted(total, ends)
+        if len(total) and total[-1] == ends[-1] and (total[last] == ends).all():
+            return flat, np.diff(last, prepend=-1)
+        return flattened([x.ids for x in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)])
+
+    def encoded(self, words: list[str]) -> list[tuple | None]:
+        """Each word as ``aligned_words`` gives it; None if a side does not give its bytes back."""
         whole = [(" " + w).encode() for w in words]
         sizes, lost, found = [*map(len, whole)], set(), []
-        for ids, of, size in (([x.ids for x in self.a.encode_batch([" " + w for w in words], add_special_tokens=False)], self.bytes_a, self.size_a),
-                              (self.b.encode(words, num_threads=1), self.bytes_b, self.size_b)):
-            ends = np.cumsum([0, *map(len, ids)])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
+        for (flat, counts), of, size in ((self.ids_a(words, sizes), self.bytes_a, self.size_a),
+                                         (flattened(self.b.encode(words, num_threads=1)), self.bytes_b, self.size_b)):
+            ends, ids = np.concatenate([[0], np.cumsum(counts)]), flat.tolist()
             total = np.concatenate([[0], np.cumsum(size[flat])])
-            if (np.diff(total[ends]) != sizes).any() or b"".join(map(of.__getitem__, chain.from_iterable(ids))) != b"".join(whole):
-                lost.update(k for k, own in enumerate(ids) if b"".join(map(of.__getitem__, own)) != whole[k])
-            packed, cuts = flat.tobytes(), (4 * ends).tolist()
-            found.append([packed[x:y] for x, y in zip(cuts, cuts[1:])])
-        return [None if k in lost else x for k, x in enumerate(zip(*found))]
+            if (np.diff(total[ends]) != sizes).any() or b"".join(map(of.__getitem__, ids)) != b"".join(whole):
+                lost.update(k for k, own in enumerate(whole) if b"".join(map(of.__getitem__, ids[ends[k]:ends[k + 1]])) != own)
+            found.append((flat, counts))
+        if lost:
+            left = np.ones(len(words), dtype=bool)
+            left[list(lost)] = False
+            found = [(flat[np.repeat(left, n)], n[left]) for flat, n in found]
+        done = iter(aligned_words(self, *found))
+        return [None if k in lost else next(done) for k in range(len(words))]
 
     def ids(self, texts: list[str]) -> list[list[tuple] | None]:
-        """The ids of each text word by word; None if it has no tokens."""
+        """The words of each text as ``aligned_words`` gives them; None if it has no tokens."""
         split = [words_of(t) if t else [] for t in texts]
         every = set(chain.from_iterable(split))
-        cache, own = self.cache, {}
-        fresh = [w for w in every if w not in cache]
-        for k in range(0, len(fresh), 4096):
-            part = fresh[k:k + 4096]
-            own.update(zip(part, self.encoded(part)))
-        if len(cache) + len(own) > CACHED_WORDS:
-            own.update((w, cache[w]) for w in every if w in cache)
+        cache = self.cache
+        fresh = [*every.difference(cache)]
+        if len(cache) + len(fresh) > CACHED_WORDS:
+            used = {w: cache[w] for w in every if w in cache}
             cache.clear()
-        cache.update((w, x) for w, x in own.items() if len(w) <= CACHED_LENGTH)
+            cache.update(used)
+        for part in batches(fresh):
+            cache.update(zip(part, self.encoded(part)))
         found = []
         for text, words in zip(texts, split):
-            ids = [cache[w] if w in cache else own[w] for w in words]
+            ids = [*map(cache.__getitem__, words)]
             if None in ids:  # a word's bytes are lost; the rule is about the whole text
                 whole = self.encoded([text])[0]
                 ids = whole and [whole]
             found.append(ids or None)
+        for w in fresh:
+            if len(w) > CACHED_LENGTH:
+                del cache[w]
         return found
 
 
+def batches(words: list[str]) -> Iterator[list[str]]:
+    """``words`` in parts of at most ``BATCH_WORDS``, ended by the word that reaches ``BATCH_BYTES``."""
+    part, held = [], 0
+    for w in words:
+        part.append(w)
+        held += len(w.encode())
+        if len(part) == BATCH_WORDS or held >= BATCH_BYTES:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all lists, and how many each has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, counts.sum()), counts
+
+
 def both_sides(byte_file: str, piece_file: str) -> Sides:
     """Loaded once for the tasks of a stage in a worker: those that follow find its cache of words."""
     return of_stage(("sides", byte_file, piece_file), lambda: Sides(byte_file, piece_file))
 
 
-def align(sides: Sides, parts: list[list[tuple]]) -> list[tuple]:
-    """Parts of documents, each the ids of its words: ``tokens, tokens, overlaps, links, groups as text, pairs, times`` of each."""
-    a = [b"".join([x for x, _ in p]) for p in parts]
-    b = [b"".join([y for _, y in p]) for p in parts]
-    n_a, n_b = np.array([*map(len, a)]) // 4, np.array([*map(len, b)]) // 4
-    a, b = np.frombuffer(b"".join(a), np.int32).astype(np.int64), np.frombuffer(b"".join(b), np.int32).astype(np.int64)
+def aligned_words(sides: Sides, side_a: tuple, side_b: tuple) -> list[tuple]:
+    """Words by the ids of all and how many each has: ``ids, ids, overlaps, groups as text, linked pairs`` of each, in bytes."""
+    (a, n_a), (b, n_b) = side_a, side_b
+    if not len(n_a):
+        return []
     end_a, end_b = np.cumsum(sides.size_a[a]), np.cumsum(sides.size_b[b])
-    doc_a, doc_b = np.repeat(np.arange(len(parts)), n_a), np.repeat(np.arange(len(parts)), n_b)
-    left = pd.DataFrame({"start": end_a - sides.size_a[a], "doc": doc_a, "a": np.arange(len(a))})
-    right = pd.DataFrame({"start": end_b - sides.size_b[b], "doc": doc_b, "b": np.arange(len(b))})
-    over_a = pd.merge_asof(left, right, on="start", by="doc")["b"].to_numpy()  # the token under the start of each of a
-    over_b = pd.merge_asof(right, left, on="start", by="doc")["a"].to_numpy()
+    word_a, word_b = np.repeat(np.arange(len(n_a)), n_a), np.repeat(np.arange(len(n_b)), n_b)
+    left = pd.DataFrame({"start": end_a - sides.size_a[a], "a": np.arange(len(a))})
+    right = pd.DataFrame({"start": end_b - sides.size_b[b], "b": np.arange(len(b))})
+    # the token under the start of each of a; never one of another word, since both sides begin each word at the same byte
+    over_a = pd.merge_asof(left, right, on="start")["b"].to_numpy()
+    over_b = pd.merge_asof(right, left, on="start")["a"].to_numpy()
     again = left["start"].to_numpy()[over_b] == right["start"].to_numpy()  # equal starts are found from both sides
-    overlaps = np.bincount(doc_a, minlength=len(parts)) + np.bincount(doc_b[~again], minlength=len(parts))
+    overlaps = (n_a + np.bincount(word_b[~again], minlength=len(n_b))).tolist()
     partner = np.full(len(a), -1)
     same = end_a == end_b[over_a]
     partner[same] = over_a[same]
@@ -135,26 +175,45 @@ def align(sides: Sides, parts: list[list[tuple]]) -> list[tuple]:
     order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
     written = np.concatenate([sides.written_a[2 * a + tied_a], sides.written_b[2 * b + tied_b]])[order].tolist()
     linked = np.flatnonzero(tied_a)
-    pairs, number = np.unique(a[linked] * len(sides.size_b) + b[partner[linked]], return_inverse=True)
-    own, times = np.unique(doc_a[linked] * len(pairs) + number, return_counts=True)
-    ends = np.cumsum(n_a + n_b)
-    cuts = np.searchsorted(own, np.arange(len(parts) + 1) * len(pairs))
-    links = np.bincount(doc_a[linked], minlength=len(parts))
-    return [(int(n_a[k]), int(n_b[k]), int(overlaps[k]), int(links[k]), "".join(written[ends[k] - n_a[k] - n_b[k]:ends[k]]),
-             pairs[own[cuts[k]:cuts[k + 1]] % len(pairs)], times[cuts[k]:cuts[k + 1]]) for k in range(len(parts))]
+    pairs = (a[linked].astype(np.int64) * len(sides.size_b) + b[partner[linked]]).astype(sides.wide)
+    n_links = np.bincount(word_a[linked], minlength=len(n_a))
+
+    def cut(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        packed, ends = values.tobytes(), (values.itemsize * np.cumsum(counts)).tolist()
+        return [packed[x:y] for x, y in zip([0, *ends], ends)]
+
+    ends = np.cumsum(n_a + n_b).tolist()
+    groups = [b"".join(written[x:y]) for x, y in zip([0, *ends], ends)]
+    return [*zip(cut(a, n_a), cut(b, n_b), overlaps, groups, cut(pairs, n_links))]
+
+
+def align(sides: Sides, parts: list[list[tuple]]) -> list[tuple]:
+    """Parts of documents, each its aligned words: ``tokens, tokens, overlaps, links, groups as text, pairs, times`` of each."""
+    sums, texts, packed = [], [], []
+    for part in parts:
+        a, b, overlaps, groups, pairs = zip(*part)
+        texts.append(b"".join(groups))
+        packed.append(b"".join(pairs))
+        sums.append((sum(map(len, a)) // 4, sum(map(len, b)) // 4, sum(overlaps), len(packed[-1]) // np.dtype(sides.wide).itemsize))
+    span = len(sides.size_a) * len(sides.size_b)
+    owners = np.repeat(np.arange(len(parts)), [x[3] for x in sums])
+    own, times = np.unique(owners * span + np.frombuffer(b"".join(packed), sides.wide), return_counts=True)
+    cuts = np.searchsorted(own, np.arange(len(parts) + 1) * span).tolist()
+    pairs = own % span
+    return [(*x, text, pairs[i:j], times[i:j]) for x, text, i, j in zip(sums, texts, cuts, cuts[1:])]
 
 
 class Aligned:
     """What is known of one document while its parts are aligned."""
 
     def __init__(self):
-        self.sums, self.hash, self.before = np.zeros(4, dtype=np.int64), hashlib.sha256(), ""
+        self.sums, self.hash, self.before = np.zeros(4, dtype=np.int64), hashlib.sha256(), b""
         self.pairs, self.times = [], []
 
     def add(self, part: tuple) -> None:
         self.sums += part[:4]
-        self.hash.update((self.before + part[4][:-1]).encode())
-        self.before = ";"
+        self.hash.update(self.before + part[4][:-1])
+        self.before = b";"
         self.pairs.append(part[5])
         self.times.append(part[6])
 
@@ -173,7 +232,6 @@ def alignments(docs: DataFrame, byte_file: str, piece_file: str, doc_id: str = "
     """``row, doc_id, n_a, n_b, n_overlaps, n_links, groups_sha256, pairs, times``; a pair is ``a id * size of b's ids + b id``."""
     def make():
         sides = both_sides(byte_file, piece_file)
-        wide = np.int32 if len(sides.bytes_a) * len(sides.bytes_b) < 1 << 31 else np.int64
 
         def step(rows, texts):
             done = [Aligned() for _ in texts]
@@ -193,7 +251,7 @@ def alignments(docs: DataFrame, byte_file: str, piece_file: str, doc_id: str = "
                     if held >= BATCH_BYTES:
                         flush()
             flush()
-            return [rows.column(0), rows.column(1), *map(list, zip(*[x.row(wide) for x in done]))]
+            return [rows.column(0), rows.column(1), *map(list, zip(*[x.row(sides.wide) for x in done]))]
 
         return step
 

@@ -150,6 +150,36 @@ def test_overlaps():
     assert token_alignment.align(sides, [words])[0][2] == want
 
 
+def test_words_aligned_once(monkeypatch):
+    """A word's tokens are encoded and laid over each other once, not at every place where it stands."""
+    laid, merge = [], token_alignment.pd.merge_asof
+    monkeypatch.setattr(token_alignment.pd, "merge_asof", lambda left, right, **how: laid.append(len(left)) or merge(left, right, **how))
+    once = "unbelievable internationalisation of 12345"
+    sides = token_alignment.Sides(BYTES, PIECES)
+    first, many = (token_alignment.align(sides, [sides.ids([t])[0]])[0] for t in (once, " ".join([once] * 50)))
+    assert sum(laid) == first[0] + first[1]
+    assert many[:4] == tuple(50 * x for x in first[:4]) and many[4] == 50 * first[4]
+    assert many[5].tolist() == first[5].tolist() and many[6].tolist() == (50 * first[6]).tolist()
+
+
+def test_long_words_in_batches(monkeypatch):
+    monkeypatch.setattr(token_alignment, "BATCH_BYTES", 1000)
+    words = ["中" * n for n in (400, 10, 20, 5, 900)] + ["a", "b"]
+    assert [[len(w) for w in part] for part in token_alignment.batches(words)] == [[400], [10, 20, 5, 900], [1, 1]]
+    assert list(token_alignment.batches([])) == []
+
+
+def test_runs_of_words():
+    """Words encoded in runs have the ids of each alone, also beside white space at their ends and words that lose bytes."""
+    sides = token_alignment.Sides(BYTES, PIECES)
+    words = [*{w for t in aligned_texts() if t for w in token_alignment.words_of(t)}]
+    alone = {w: token_alignment.Sides.encoded(sides, [w])[0] for w in words}
+    assert dict(zip(words, sides.encoded(words))) == alone
+    assert {None} < {x and type(x) for x in alone.values()}
+    assert [np.frombuffer(x[0], np.int32).tolist() for x in alone.values() if x] == [
+        sides.a.encode(" " + w, add_special_tokens=False).ids for w, x in alone.items() if x]
+
+
 def test_alignment_without_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_alignment.alignment_scores(empty, BYTES, PIECES).collect() == []
